@@ -177,3 +177,39 @@ UNION ALL SELECT DISTINCT 'tipo_feriado', tipo_feriado, DENSE_RANK() OVER (ORDER
 UNION ALL SELECT DISTINCT 'day_of_week_name', CAST(day_of_week_name AS VARCHAR),
        DENSE_RANK() OVER (ORDER BY day_of_week_name) - 1 FROM globals
 UNION ALL SELECT DISTINCT 'month', CAST(month AS VARCHAR), DENSE_RANK() OVER (ORDER BY month) - 1 FROM globals"""
+
+CHECKS["latest_run"] = f"""
+WITH {RUNS} SELECT run_id, name, start_dt, seq FROM runs WHERE name = '5-LOW' ORDER BY start_dt DESC, seq DESC LIMIT 1"""
+CHECKS["run_children"] = f"""
+WITH {RUNS} SELECT c.run_id, c.parent_run_id, p.name AS parent_name, c.name,
+  CAST(REPLACE(c.name, 'Fold_', '') AS INTEGER) AS fold, c.start_dt
+FROM runs c JOIN runs p ON c.parent_run_id = p.run_id"""
+CHECKS["newest_child_run"] = f"""
+WITH {RUNS}, placed AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY parent_run_id ORDER BY start_dt DESC, run_id DESC) AS place
+  FROM runs WHERE parent_run_id IS NOT NULL)
+SELECT parent_run_id, run_id, name FROM placed WHERE place = 1"""
+CHECKS["run_feature_list"] = """
+SELECT o_orderkey, o_orderpriority AS first_name, o_orderstatus AS second_name, CAST(2 AS BIGINT) AS listed FROM orders"""
+CHECKS["run_log"] = " UNION ALL ".join(
+    f"SELECT fold, 'FINISHED' AS status, '{name}' AS key, {name} AS value FROM ({CHECKS['fold_metrics_naive']}) AS s"
+    for name in ("mae", "rmse", "r2", "mape", "mase")
+)
+
+ELEMENTS = {
+    "client_id": r6("AVG(y0) OVER (PARTITION BY client_id)"),
+    **{name: f"COALESCE({name}, 0)" for name in (
+        "avg_temperature", "avg_humidity", "temp_humid_interaction", "day_counter", "consumption_lag_1",
+        "consumption_lag_2", "consumption_lag_3", "consumption_lag_4", "consumption_lag_7", "consumption_lag_15",
+    )},
+    **{name: f"DENSE_RANK() OVER (ORDER BY {name}) - 1" for name in ("tipo_feriado", "day_of_week_name", "month")},
+    **{name: f"COALESCE({name}, 0)" for name in (
+        "rolling_mean_3", "rolling_std_3", "rolling_mean_7", "rolling_std_7", "diff_lag_1",
+    )},
+}
+CHECKS["feature_vector"] = f"""
+WITH {GLOBAL}, filled AS (SELECT *, COALESCE(total_consumption, 0) AS y0 FROM globals)
+""" + " UNION ALL ".join(
+    f"SELECT client_id, dt, CAST({position} AS BIGINT) AS position, CAST({element} AS DOUBLE) AS value FROM filled"
+    for position, element in enumerate(ELEMENTS.values())
+)

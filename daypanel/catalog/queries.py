@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypanel.functions.periods import parse_period, shift_column
-from daypanel.operators import gaps, history, views
+from daypanel.operators import gaps, history, scores, views
 from daypanel.operators.blocks import dense_index, long_series
 from daypanel.operators.calendar_table import calendar_table, distinct_days
 from daypanel.operators.folds import (
     FoldPlan, assign_folds, fold_bounds, fold_counts, fold_plan_of, holdout, plan_table,
 )
-from daypanel.operators.naive import lag_forecast, pooled_scale_by_fold, pooled_steps, series_scale
-from daypanel.operators import scores
-from daypanel.plans import features
+from daypanel.operators.naive import lag_forecast, pooled_scale, pooled_scale_by_fold, pooled_steps, series_scale
+from daypanel.plans import features, runlog
+from daypanel.plans.forecaster import ALL_FEATURES, LEAK_FREE_FEATURES, Forecaster, Settings, fit, prepare
 from daypanel.sources import panels, tables
 from daypanel.sources.scratch import materialised, new_path
 
@@ -423,7 +426,8 @@ def fold_average_metrics(spark, sf_dir):
 def test_evaluation(spark, sf_dir):
     plan = long_plan(spark, sf_dir)
     test = known(naive_panel(spark, sf_dir)).where(F.col("date") >= F.lit(plan.test_start))
-    row = scores.evaluation_row(test, pooled_steps(long_panel(spark, sf_dir)), plan, "Naive lag 1")
+    scale = pooled_scale(pooled_steps(long_panel(spark, sf_dir)), plan.folds[-1].train_end)
+    row = scores.evaluation_row(test, scale, "Naive lag 1")
     return out(row, *scores.METRICS, "y_true_std")
 
 
@@ -462,3 +466,139 @@ def category_index(spark, sf_dir):
         )
         indexed = part if indexed is None else indexed.unionByName(part)
     return indexed
+
+
+# Run log
+
+
+@register
+def latest_run(spark, sf_dir):
+    named = panels.run_log(spark, sf_dir).where(F.col("name") == "5-LOW")
+    return runlog.latest(named, F.col("start_dt").desc(), F.col("seq").desc()).select("run_id", "name", "start_dt", "seq")
+
+
+@register
+def run_children(spark, sf_dir):
+    return runlog.children(panels.run_log(spark, sf_dir)).select(
+        "run_id", "parent_run_id", "parent_name", "name", "fold", "start_dt"
+    )
+
+
+@register
+def newest_child_run(spark, sf_dir):
+    return runlog.newest_children(panels.run_log(spark, sf_dir), "start_dt", "run_id")
+
+
+@register
+def run_feature_list(spark, sf_dir):
+    """Lists that every order run would store as text, parsed back into names."""
+    stored = F.concat(F.lit("['"), F.col("o_orderpriority"), F.lit("', '"), F.col("o_orderstatus"), F.lit("']"))
+    names = panels.table(spark, sf_dir, "orders").select("o_orderkey", runlog.text_list_of(stored).alias("names"))
+    return names.select(
+        "o_orderkey", F.col("names")[0].alias("first_name"), F.col("names")[1].alias("second_name"),
+        F.size("names").cast("bigint").alias("listed"),
+    )
+
+
+@register
+def run_log(spark, sf_dir):
+    """Fold scores of the naive forecast, recorded as runs and read back from the log."""
+    path = new_path(spark, "run-log")
+    parent = runlog.Run("naive", "walk_forward")
+    parent.note(walk_forward_initial_train_size=INITIAL, walk_forward_validation_size=VALIDATION, test_size=TEST)
+    parent.close(runlog.FINISHED)
+    recorded = [parent]
+    for row in fold_metrics_naive(spark, sf_dir).collect():
+        run = runlog.Run("naive", f"Fold_{row['fold']}", parent.run_id)
+        run.measure({name: row[name] for name in scores.METRICS})
+        run.close(runlog.FINISHED)
+        recorded.append(run)
+    runlog.append(spark, path, recorded)
+    log = runlog.runs(spark, path)
+    found = runlog.latest_named(log, "naive", "walk_forward").select(F.col("run_id").alias("parent_run_id"))
+    folds = log.select("run_id", "parent_run_id", "name", "status").join(found, "parent_run_id")
+    return folds.join(runlog.metrics(spark, path), "run_id").select(
+        runlog.fold_number("name").cast("bigint").alias("fold"), "status", "key", "value"
+    )
+
+
+# Model
+
+
+MODEL_FEATURES = tuple(name for name in LEAK_FREE_FEATURES if not name.startswith(("avg_", "temp_")))
+QUICK = Settings(features=MODEL_FEATURES, rounds=5, max_depth=4)
+
+
+def model_panel(spark, sf_dir) -> DataFrame:
+    """History and calendar features of the long panel as a table, since a fit reads them often."""
+    attributes = long_calendar(spark, sf_dir).select("date", "day_of_week_name", "month", "tipo_feriado")
+    rows = history.add_history(long_panel(spark, sf_dir)).drop("diff_lag_1")
+    return materialised(rows.join(F.broadcast(attributes), "date"), "model-panel")
+
+
+def last_fold_model(spark, sf_dir) -> tuple[Forecaster, DataFrame]:
+    """The model of the last fold and the test part."""
+    plan, rows, day = long_plan(spark, sf_dir), model_panel(spark, sf_dir), F.col("date")
+    last = plan.folds[-1]
+    held = rows.where((day >= F.lit(last.train_end)) & (day < F.lit(last.val_end)))
+    model = fit(rows.where(day < F.lit(last.train_end)), held, QUICK)
+    return model, rows.where(day >= F.lit(plan.test_start))
+
+
+@register
+def feature_vector(spark, sf_dir):
+    """Every element of the assembled vectors, clients represented by their mean target."""
+    rows = short_global(spark, sf_dir)
+    prepared = prepare(rows, Settings(features=tuple(ALL_FEATURES), clients="mean"))
+    elements = F.posexplode(vector_to_array("features")).alias("position", "value")
+    return out(prepared.vectors(rows).select("client_id", "date", elements), "value").withColumn(
+        "position", F.col("position").cast("bigint")
+    )
+
+
+@register
+def gbt_forecast(spark, sf_dir):
+    """Errors on the test part of a model fitted on the last fold's train rows."""
+    model, test = last_fold_model(spark, sf_dir)
+    return scores.error_table(model.score(test))
+
+
+@register
+def batch_score(spark, sf_dir):
+    """Scores of the test part, computed without the target column."""
+    model, test = last_fold_model(spark, sf_dir)
+    return out(model.score(test.drop("total_consumption")).select("client_id", "date", "prediction"))
+
+
+@register
+def prediction_preview(spark, sf_dir):
+    model, test = last_fold_model(spark, sf_dir)
+    return out(views.preview(model.score(test)))
+
+
+@register
+def model_roundtrip(spark, sf_dir):
+    """Scores of a model beside those of the same model saved and loaded."""
+    model, test = last_fold_model(spark, sf_dir)
+    path = new_path(spark, "model")
+    model.save(path)
+    again = Forecaster.load(spark, path)
+    return out(
+        again.score(model.score(test).withColumnRenamed("prediction", "before"))
+        .select("client_id", "date", "before", F.col("prediction").alias("after"))
+    )
+
+
+@register
+def fold_metrics_gbt(spark, sf_dir):
+    """Five metrics of a model per fold."""
+    plan, rows, day = long_plan(spark, sf_dir), model_panel(spark, sf_dir), F.col("date")
+
+    def one_fold(fold):
+        held = rows.where((day >= F.lit(fold.train_end)) & (day < F.lit(fold.val_end)))
+        model = fit(rows.where(day < F.lit(fold.train_end)), held, QUICK)
+        return model.score(held).select(F.lit(fold.fold).cast("bigint").alias("fold"), "total_consumption", "prediction")
+
+    with ThreadPoolExecutor(2) as pool:
+        scored = reduce(DataFrame.unionByName, pool.map(one_fold, plan.folds))
+    return scores.fold_errors(scored, pooled_scale_by_fold(pooled_steps(rows), plan))

@@ -60,17 +60,21 @@ def replace_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_panel(df: DataFrame, path: str, key: str = "client_id", date: str = "date") -> None:
+def write_panel(
+    df: DataFrame, path: str, key: str = "client_id", date: str = "date", by_month: bool = False
+) -> None:
     """Parquet laid out by calendar month, rows of a month sorted by series and day.
 
     A date filter prunes whole months. The rebalance lets adaptive execution split a heavy
     month over several writers and merge light ones, so file sizes follow the data and not
-    the number of tasks times the number of months.
+    the number of tasks times the number of months. Rows that were read from such a table and
+    went through no shuffle since are ``by_month`` already and are written where they are.
     """
+    rows = df.withColumn(PERIOD_COLUMN, F.date_format(date, "yyyy-MM"))
+    if not by_month:
+        rows = rows.hint("rebalance", PERIOD_COLUMN)
     (
-        df.withColumn(PERIOD_COLUMN, F.date_format(date, "yyyy-MM"))
-        .hint("rebalance", PERIOD_COLUMN)
-        .sortWithinPartitions(PERIOD_COLUMN, key, date)
+        rows.sortWithinPartitions(PERIOD_COLUMN, key, date)
         .write.mode("overwrite")
         .partitionBy(PERIOD_COLUMN)
         .parquet(path)
