@@ -1,0 +1,70 @@
+from datetime import date, timedelta
+import random
+
+import pandas as pd
+import pytest
+
+from daypanel.operators import gaps
+from daypanel.operators.blocks import long_series
+
+SCHEMA = "region string, date date, temperature double, humidity double"
+START = date(2024, 1, 1)
+
+
+def series(region, values, days=None):
+    days = days or range(len(values))
+    return [(region, START + timedelta(days=d), v, 1.0) for d, v in zip(days, values)]
+
+
+def treated(spark, rows):
+    done = gaps.impute_climate(spark.createDataFrame(rows, SCHEMA)).orderBy("region", "date").collect()
+    return [row["temperature"] for row in done]
+
+
+@pytest.mark.parametrize("given, expected", [
+    ([None, 1.0, None, None, 4.0, None], [1.0, 1.0, 2.0, 3.0, 4.0, 4.0]),
+    ([None, None], [None, None]),
+    ([5.0], [5.0]),
+])
+def test_treatment(spark, given, expected):
+    assert treated(spark, series("a", given)) == expected
+
+
+def test_interpolation_counts_rows_and_not_days(spark):
+    assert treated(spark, series("a", [1.0, None, 3.0], days=[0, 1, 8])) == [1.0, 2.0, 3.0]
+
+
+def test_rows_without_region_lose_their_temperature(spark):
+    assert treated(spark, series(None, [2.0, None])) == [None, None]
+
+
+def test_single_fills(spark):
+    df = spark.createDataFrame(series("a", [None, 1.0, None, 3.0, None]), SCHEMA)
+    done = gaps.fill_gaps(df, {
+        "line": gaps.linear("temperature"), "ahead": gaps.forward("temperature"), "back": gaps.backward("temperature"),
+    }).orderBy("date").collect()
+    assert [r["line"] for r in done] == [None, 1.0, 2.0, 3.0, 3.0]
+    assert [r["ahead"] for r in done] == [None, 1.0, 1.0, 3.0, 3.0]
+    assert [r["back"] for r in done] == [1.0, 1.0, 3.0, 3.0, None]
+
+
+def test_long_regions_in_blocks_equal_pandas(spark):
+    pick = random.Random(3)
+    rows = []
+    for region, length in (("heavy", 700), ("also heavy", 300), ("light", 40), ("empty", 60), ("empty heavy", 260)):
+        known = 0.0 if region.startswith("empty") else 0.15
+        rows += series(region, [round(pick.uniform(0, 40), 2) if pick.random() < known else None for _ in range(length)])
+    rows += series(None, [1.0, None, 2.0])
+    df = spark.createDataFrame(rows, SCHEMA)
+    keys = long_series(df, "region", 100)
+    assert {row["region"] for row in keys.collect()} == {"heavy", "also heavy", "empty heavy"}
+    done = gaps.impute_climate(df, long_keys=keys, max_series_rows=100).toPandas()
+
+    expected = pd.DataFrame(rows, columns=["region", "date", "temperature", "humidity"]).sort_values(["region", "date"])
+    filled = expected.groupby("region")["temperature"].transform(lambda s: s.astype(float).interpolate().ffill().bfill())
+    expected["temperature"] = filled
+    order = ["region", "date"]
+    left, right = (d.sort_values(order).reset_index(drop=True) for d in (done, expected))
+    assert len(left) == len(right)
+    pd.testing.assert_series_equal(left["temperature"], right["temperature"], rtol=1e-9)
+    assert sorted(done.columns) == sorted(df.columns)
