@@ -18,6 +18,7 @@ WITH RECURSIVE {FOLD_PANEL}, last AS (SELECT * FROM folds ORDER BY fold DESC LIM
 SELECT client_id, dt, kwh AS total_consumption, 'train' AS split FROM consumo, last WHERE dt < train_end
 UNION ALL SELECT client_id, dt, kwh, 'validation' FROM consumo, last WHERE dt >= train_end AND dt < val_end
 UNION ALL SELECT client_id, dt, kwh, 'test' FROM consumo, limits WHERE dt >= test_start"""
+CHECKS["split_csv_roundtrip"] = CHECKS["split_sink_roundtrip"]
 
 CHECKS["readings_with_region"] = f"""
 WITH {SHORT_PANEL} SELECT client_id, dt, kwh AS consumption_kwh, region FROM consumo JOIN clientes USING (client_id)"""

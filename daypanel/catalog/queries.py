@@ -19,7 +19,7 @@ from daypanel.operators.folds import (
 )
 from daypanel.operators.naive import lag_forecast, pooled_scale, pooled_scale_by_fold, pooled_steps, series_scale
 from daypanel.plans import features, runlog
-from daypanel.plans.forecaster import ALL_FEATURES, LEAK_FREE_FEATURES, Forecaster, Settings, fit, prepare
+from daypanel.plans.forecaster import ALL_FEATURES, CATEGORIES, LEAK_FREE_FEATURES, Forecaster, Settings, fit, prepare
 from daypanel.sources import panels, tables
 from daypanel.sources.scratch import materialised, new_path
 
@@ -113,23 +113,30 @@ def parquet_sink_roundtrip(spark, sf_dir):
     return out(tables.read_panel(spark, path))
 
 
-@register
-def split_sink_roundtrip(spark, sf_dir):
+def split_roundtrip(spark, sf_dir, fmt: str) -> DataFrame:
     path = new_path(spark, "splits")
     plan = long_plan(spark, sf_dir)
-    last = plan.folds[-1]
-    day = F.col("date")
-    rows = long_panel(spark, sf_dir)
+    last, day, rows = plan.folds[-1], F.col("date"), long_panel(spark, sf_dir)
     tables.write_splits({
         "train": rows.where(day < F.lit(last.train_end)),
         "validation": rows.where((day >= F.lit(last.train_end)) & (day < F.lit(last.val_end))),
         "test": rows.where(day >= F.lit(plan.test_start)),
-    }, path)
+    }, path, fmt)
     parts = [
-        tables.read_split(spark, path, name).withColumn("split", F.lit(name))
+        tables.read_split(spark, path, name, rows.schema, fmt).withColumn("split", F.lit(name))
         for name in ("train", "validation", "test")
     ]
-    return out(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return out(reduce(DataFrame.unionByName, parts))
+
+
+@register
+def split_sink_roundtrip(spark, sf_dir):
+    return split_roundtrip(spark, sf_dir, "parquet")
+
+
+@register
+def split_csv_roundtrip(spark, sf_dir):
+    return split_roundtrip(spark, sf_dir, "csv")
 
 
 # Joins and projections
@@ -426,7 +433,8 @@ def fold_average_metrics(spark, sf_dir):
 def test_evaluation(spark, sf_dir):
     plan = long_plan(spark, sf_dir)
     test = known(naive_panel(spark, sf_dir)).where(F.col("date") >= F.lit(plan.test_start))
-    scale = pooled_scale(pooled_steps(long_panel(spark, sf_dir)), plan.folds[-1].train_end)
+    trained = long_panel(spark, sf_dir).where(F.col("date") < F.lit(plan.folds[-1].train_end))
+    scale = pooled_scale(pooled_steps(trained))
     row = scores.evaluation_row(test, scale, "Naive lag 1")
     return out(row, *scores.METRICS, "y_true_std")
 
@@ -458,9 +466,9 @@ def client_role_series(spark, sf_dir):
 
 @register
 def category_index(spark, sf_dir):
-    rows = short_global(spark, sf_dir)
+    rows = materialised(short_global(spark, sf_dir).select(CATEGORIES), "categories")
     indexed = None
-    for name in ("client_id", "tipo_feriado", "day_of_week_name", "month"):
+    for name in CATEGORIES:
         part = dense_index(rows, name).select(
             F.lit(name).alias("variable"), F.col(name).cast("string").alias("value"), F.col("index").alias("idx")
         )

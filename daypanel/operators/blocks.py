@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from daypanel.sources.scratch import checkpointed, materialised
 
 MAX_SERIES_ROWS = 4_000_000
-BLOCK = "_block"
+BLOCK, TIE = "_block", "_tie"
 
 
 def long_series(df: DataFrame, key: str, max_rows: int = MAX_SERIES_ROWS) -> DataFrame | None:
@@ -26,11 +26,9 @@ def long_series(df: DataFrame, key: str, max_rows: int = MAX_SERIES_ROWS) -> Dat
     The count reads the key column only and is combined before the shuffle. The keys stay in a
     table; joins with it are broadcast only while that table is small.
     """
-    found = materialised(
-        df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows")).where(F.col("rows") > max_rows),
-        "long-series",
-    )
-    return None if found.isEmpty() else found
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    found = counts.where(F.col("rows") > max_rows)
+    return None if found.isEmpty() else materialised(found, "long-series")
 
 
 def split_long(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -42,12 +40,15 @@ def split_long(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, Dat
 def in_blocks(df: DataFrame, order: Sequence[str], blocks: int) -> DataFrame:
     """Rows range-partitioned by ``order``, numbered by partition and frozen in a checkpoint.
 
-    Block numbers rise with the order. The checkpoint is what makes the number a fact: range
-    bounds are sampled, so a plan that was evaluated twice could cut at other places.
+    Block numbers rise with the order. Rows that are equal in it, exact copies included, are told
+    apart by ``_tie``, so even those can be cut anywhere; windows over blocks order by it last.
+    The rows are stored before they get that number and again before anyone reads the block:
+    row positions and sampled range bounds are only certain for rows that no lost executor can
+    bring back in another order.
     """
-    return checkpointed(
-        df.repartitionByRange(blocks, *[F.col(name) for name in order]).withColumn(BLOCK, F.spark_partition_id())
-    )
+    numbered = materialised(df, "long-rows").withColumn(TIE, F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(blocks, *[F.col(name) for name in [*order, TIE]])
+    return checkpointed(ranged.withColumn(BLOCK, F.spark_partition_id()))
 
 
 def block_count(keys: DataFrame, max_rows: int) -> int:

@@ -180,10 +180,17 @@ def fold_counts(df: DataFrame, plan: FoldPlan, date: str = "date") -> DataFrame:
     )
 
 
-def usable_folds(df: DataFrame, plan: FoldPlan, date: str = "date") -> FoldPlan:
-    """The plan up to the first fold that has an empty window."""
-    gap = fold_counts(df, plan, date).where(~F.col("usable")).agg(F.min("fold")).first()[0]
-    folds = plan.folds if gap is None else plan.folds[: gap - 1]
+def usable_folds(df: DataFrame, plan: FoldPlan, date: str = "date") -> tuple[FoldPlan, dict]:
+    """The plan up to the first fold that has an empty window, and the bounds of its windows.
+
+    Bounds are rows of :func:`fold_bounds` by fold and split, two per fold.
+    """
+    bounds = {(row["fold"], row["split"]): row for row in fold_bounds(df, plan, date).collect()}
+    folds = []
+    for fold in plan.folds:
+        if (fold.fold, "train") not in bounds or (fold.fold, "validation") not in bounds:
+            break
+        folds.append(fold)
     if not folds:
         raise WindowSizeError("no_folds", "no fold has rows in both of its windows")
-    return FoldPlan(plan.first_day, plan.test_start, plan.last_day, folds)
+    return FoldPlan(plan.first_day, plan.test_start, plan.last_day, tuple(folds)), bounds

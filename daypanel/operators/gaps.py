@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.operators.blocks import BLOCK, MAX_SERIES_ROWS, block_count, in_blocks, split_long
+from daypanel.operators.blocks import BLOCK, MAX_SERIES_ROWS, TIE, block_count, in_blocks, split_long
 
 _HELPERS = ["_pos", "_prev", "_next"]
+_SPREAD = "_spread"
 
 
 def linear(value: str) -> Column:
@@ -52,15 +53,14 @@ def fill_gaps(
     """Add or replace the columns in ``filled``, built from the functions above.
 
     Rows without a key form no group: their columns become NULL. ``long_keys`` names the groups
-    that do not fit one task (see :mod:`daypanel.operators.blocks`); ``order`` should then be
-    unique within a group.
+    that do not fit one task (see :mod:`daypanel.operators.blocks`).
     """
     filled = {name: F.when(F.col(key).isNotNull(), column) for name, column in filled.items()}
     if long_keys is None:
         return _neighbours(df, [key], key, order, value).withColumns(filled).drop(*_HELPERS)
     rest, heavy = split_long(df, key, long_keys)
     blocks = in_blocks(heavy, [key, *order], block_count(long_keys, max_series_rows))
-    lifted = _carry_over(_neighbours(blocks, [key, BLOCK], key, order, value), key)
+    lifted = _carry_over(_neighbours(blocks, [key, BLOCK], key, [*order, TIE], value), key)
     return (
         _neighbours(rest, [key], key, order, value)
         .unionByName(lifted.select(*df.columns, *_HELPERS))
@@ -76,17 +76,17 @@ def impute_climate(climate: DataFrame, **options) -> DataFrame:
 
 def _neighbours(df: DataFrame, group: list[str], key: str, order: Sequence[str], value: str) -> DataFrame:
     # rows without a key would all meet in one partition, so they are spread by their order
-    spread = F.when(F.col(key).isNull(), F.xxhash64(*order))
-    whole = Window.partitionBy(*group, spread)
+    spread = df.withColumn(_SPREAD, F.when(F.col(key).isNull(), F.xxhash64(*order)))
+    whole = Window.partitionBy(*group, _SPREAD)
     ahead = whole.orderBy(*order)
-    numbered = df.withColumn("_pos", F.row_number().over(ahead))
+    numbered = spread.withColumn("_pos", F.row_number().over(ahead))
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("known"), F.col("_pos").alias("pos")))
     upto = ahead.rowsBetween(Window.unboundedPreceding, 0)
     back = whole.orderBy(F.col("_pos").desc()).rowsBetween(Window.unboundedPreceding, 0)
     return numbered.withColumns({
         "_prev": F.last(known, ignorenulls=True).over(upto),
         "_next": F.last(known, ignorenulls=True).over(back),
-    })
+    }).drop(_SPREAD)
 
 
 def _carry_over(rows: DataFrame, key: str) -> DataFrame:

@@ -6,12 +6,12 @@ itself (the difference excepted).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from daypanel.operators.blocks import BLOCK, MAX_SERIES_ROWS, block_count, in_blocks, split_long
+from daypanel.operators.blocks import BLOCK, MAX_SERIES_ROWS, TIE, block_count, in_blocks, split_long
 
 LAGS = (1, 2, 3, 4, 7, 15)
 ROLLING = (3, 7)
@@ -51,47 +51,54 @@ def series_window(key: str = "client_id", order: Sequence[str] = ("date",)) -> W
 
 
 def add_history(
+    df: DataFrame, key: str = "client_id", order: Sequence[str] = ("date",), value: str = "total_consumption", **long_series
+) -> DataFrame:
+    """Add every history feature; all share one shuffle and one sort by series.
+
+    Keyword arguments for long series are those of :func:`with_past`.
+    """
+    featured = with_past(df, past_columns, key, order, value, counter="day_counter", **long_series)
+    return featured.withColumn("diff_lag_1", difference(value))
+
+
+def with_past(
     df: DataFrame,
-    key: str = "client_id",
-    order: Sequence[str] = ("date",),
-    value: str = "total_consumption",
+    columns: Callable[[str, WindowSpec], dict[str, Column]],
+    key: str,
+    order: Sequence[str],
+    value: str,
+    counter: str | None = None,
     long_keys: DataFrame | None = None,
     max_series_rows: int = MAX_SERIES_ROWS,
 ) -> DataFrame:
-    """Add every history feature; all share one shuffle and one sort by series.
+    """Add ``columns(value, window)`` and, if named, a row counter over each series.
 
-    ``long_keys`` names the series that do not fit one task, as found by
-    :func:`daypanel.operators.blocks.long_series`. Their rows go through consecutive blocks,
-    each preceded by the last 15 values before it.
+    The columns may look back up to 15 rows. ``long_keys`` names the series that do not fit one
+    task, as found by :func:`daypanel.operators.blocks.long_series`. Their rows go through
+    consecutive blocks, each preceded by the last 15 values before it.
     """
+    names = [*df.columns, *([counter] if counter else []), *columns(value, series_window(key, order))]
+
+    def plain(rows: DataFrame) -> DataFrame:
+        window = series_window(key, order)
+        counted = {counter: day_counter(window)} if counter else {}
+        return rows.withColumns({**counted, **columns(value, window)})
+
     if long_keys is None:
-        return _plain(df, key, order, value)
+        return plain(df)
     rest, heavy = split_long(df, key, long_keys)
     blocks = in_blocks(heavy, [key, *order], block_count(long_keys, max_series_rows))
-    return _plain(rest, key, order, value).unionByName(_blocked(blocks, df.columns, key, order, value))
-
-
-def _plain(df: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
-    window = series_window(key, order)
-    return df.withColumns({
-        "day_counter": day_counter(window),
-        **past_columns(value, window),
-    }).withColumn("diff_lag_1", difference(value))
-
-
-def _blocked(blocks: DataFrame, columns: Sequence[str], key: str, order: Sequence[str], value: str) -> DataFrame:
-    lead_in = _lead_in(blocks, key, order, value)
-    window = Window.partitionBy(key, BLOCK).orderBy("_slot", *order)
+    total_order = [*order, TIE]
+    window = Window.partitionBy(key, BLOCK).orderBy("_slot", *total_order)
     counted = F.sum(F.when(F.col("_slot") == 0, 1).otherwise(0)).over(window)
     earlier = F.coalesce(F.max("_earlier").over(window), F.lit(0))
-    return (
+    cut = (
         blocks.withColumn("_slot", F.lit(0))
-        .unionByName(lead_in, allowMissingColumns=True)
-        .withColumns({"day_counter": counted + earlier, **past_columns(value, window)})
+        .unionByName(_lead_in(blocks, key, total_order, value), allowMissingColumns=True)
+        .withColumns({**({counter: counted + earlier} if counter else {}), **columns(value, window)})
         .where(F.col("_slot") == 0)
-        .withColumn("diff_lag_1", difference(value))
-        .select(*columns, "day_counter", *past_columns(value, window), "diff_lag_1")
     )
+    return plain(rest).unionByName(cut.select(names))
 
 
 def _lead_in(blocks: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:

@@ -43,9 +43,11 @@ def feature_table(
     """Climate and history features of every reading.
 
     Readings move once, hashed by client: the client join and the windows share that layout.
+    Several readings of a client on one day follow each other in order of their value.
     """
     rows = readings_with_climate(readings, clients, climate)
-    return add_history(rows, long_keys=long_keys, **options).select(FEATURE_COLUMNS)
+    order = ["date", "total_consumption"]
+    return add_history(rows, order=order, long_keys=long_keys, **options).select(FEATURE_COLUMNS)
 
 
 def global_table(features: DataFrame, calendar: DataFrame) -> DataFrame:

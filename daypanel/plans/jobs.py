@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from daypanel.functions.calendar import BRAZIL_HOLIDAYS_2023
 from daypanel.operators.blocks import MAX_SERIES_ROWS, long_series
 from daypanel.operators.calendar_table import calendar_table, distinct_days
-from daypanel.operators.folds import Fold, FoldPlan, WindowSizeError, fold_bounds, fold_plan_of, usable_folds
+from daypanel.operators.folds import Fold, FoldPlan, WindowSizeError, fold_plan_of, usable_folds
 from daypanel.operators.gaps import impute_climate
 from daypanel.operators.naive import pooled_scale, pooled_scale_by_fold, pooled_steps
-from daypanel.operators.scores import METRICS, client_errors, evaluation_row, fold_averages, fold_errors
+from daypanel.operators.scores import METRICS, client_errors, evaluation_row, fold_errors
 from daypanel.operators.views import fill_numeric, role_series
 from daypanel.plans import runlog
 from daypanel.plans.features import feature_table, global_table
@@ -75,22 +75,28 @@ def build_features(
     count that looks for longer ones.
     """
     spark = readings.sparkSession
-    long_regions = long_clients = None
-    limit = {}
-    if max_series_rows is not None:
-        limit = {"max_series_rows": max_series_rows}
-        long_regions = long_series(climate, "region", max_series_rows)
-        long_clients = long_series(readings, CLIENT, max_series_rows)
-    treated = impute_climate(climate, long_keys=long_regions, **limit)
-    treated.write.mode("overwrite").parquet(f"{out}/climate")
-    treated = spark.read.schema(treated.schema).parquet(f"{out}/climate")
-
-    calendar = calendar_table(distinct_days(treated), holidays)
-    calendar.coalesce(1).sortWithinPartitions("date").write.mode("overwrite").parquet(f"{out}/calendar")
-    calendar = spark.read.schema(calendar.schema).parquet(f"{out}/calendar")
-
-    write_panel(feature_table(readings, clients, treated, long_clients, **limit), f"{out}/features")
-    write_panel(global_table(read_panel(spark, f"{out}/features"), calendar), f"{out}/global", by_month=True)
+    limit = {} if max_series_rows is None else {"max_series_rows": max_series_rows}
+
+    def long_keys(df: DataFrame, key: str) -> DataFrame | None:
+        return None if max_series_rows is None else long_series(df, key, max_series_rows)
+
+    def write_climate() -> DataFrame:
+        treated = impute_climate(climate, long_keys=long_keys(climate, "region"), **limit)
+        treated.write.mode("overwrite").parquet(f"{out}/climate")
+        return spark.read.schema(treated.schema).parquet(f"{out}/climate")
+
+    def write_calendar(treated: DataFrame) -> DataFrame:
+        calendar = calendar_table(distinct_days(treated), holidays)
+        calendar.coalesce(1).sortWithinPartitions("date").write.mode("overwrite").parquet(f"{out}/calendar")
+        return spark.read.schema(calendar.schema).parquet(f"{out}/calendar")
+
+    with ThreadPoolExecutor(2) as pool:  # steps that do not wait for each other
+        long_clients = pool.submit(long_keys, readings, CLIENT)
+        treated = write_climate()
+        calendar = pool.submit(write_calendar, treated)
+        write_panel(feature_table(readings, clients, treated, long_clients.result(), **limit), f"{out}/features")
+        table = global_table(read_panel(spark, f"{out}/features"), calendar.result())
+    write_panel(table, f"{out}/global", by_month=True)
     return read_panel(spark, f"{out}/global")
 
 
@@ -104,8 +110,9 @@ def train(
 ) -> Training:
     """Walk-forward training on the global table below ``out``, recorded in the run log.
 
-    The model of the last fold is the result. A failed run is recorded as failed with its
-    reason, and the error is raised.
+    The model of the last fold is the result, or with ``refit_on_all`` one more model that is
+    fitted on every row before the test part, as long as the last fold's was. A failed run is
+    recorded as failed with its reason, and the error is raised.
     """
     parent = runlog.Run(experiment, TRAIN_RUN)
     parent.note(
@@ -132,8 +139,7 @@ def train(
 
 def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Training:
     panel = read_panel(spark, f"{out}/global")
-    plan = usable_folds(panel, fold_plan_of(panel, sizes.initial_train, sizes.validation, sizes.test))
-    bounds = {(row["fold"], row["split"]): row for row in fold_bounds(panel, plan).collect()}
+    plan, bounds = usable_folds(panel, fold_plan_of(panel, sizes.initial_train, sizes.validation, sizes.test))
 
     def one_fold(fold: Fold) -> tuple[Forecaster, DataFrame]:
         run = runs[fold.fold] = runlog.Run(parent.experiment, f"Fold_{fold.fold}", parent.run_id)
@@ -148,18 +154,26 @@ def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Trainin
         )
         validation = read_panel(spark, f"{out}/global", fold.train_end, fold.val_end)
         model = fit(read_panel(spark, f"{out}/global", before=fold.train_end), validation, settings)
-        model.save(model_path(out, parent.run_id, fold.fold))
+        model.save(model_path(out, parent.run_id, run.name.lower()))
         run.end_ts = runlog.now()
         return model, model.score(validation).select(F.lit(fold.fold).alias("fold"), TARGET, PREDICTION)
 
     with ThreadPoolExecutor(parallel_folds) as pool:
         fitted = list(pool.map(one_fold, plan.folds))
 
-    steps = pooled_steps(fill_numeric(panel.select("date", CLIENT, TARGET), keep=[CLIENT]))
+    model, kept = fitted[-1][0], f"fold_{plan.folds[-1].fold}"
+    if settings.refit_on_all:
+        rounds = replace(settings, rounds=model.trees.getNumTrees)
+        model, kept = fit(read_panel(spark, f"{out}/global", before=plan.test_start), None, rounds), "refit"
+        model.save(model_path(out, parent.run_id, kept))
+    parent.note(final_model=kept)
+
+    targets = fill_numeric(panel.select("date", CLIENT, TARGET), keep=[CLIENT])
+    steps = pooled_steps(targets, long_keys=long_series(targets, CLIENT))
     scored = reduce(DataFrame.unionByName, [predictions for _, predictions in fitted])
     table = fold_errors(scored, pooled_scale_by_fold(steps, plan)).collect()
     fold_metrics = {row["fold"]: {name: row[name] for name in METRICS} for row in table}
-    averages = fold_averages(spark.createDataFrame(table)).first().asDict()
+    averages = {f"avg_{name}": _mean(measured[name] for measured in fold_metrics.values()) for name in METRICS}
     for number, measured in fold_metrics.items():
         runs[number].measure(measured)
     parent.measure(averages)
@@ -174,11 +188,16 @@ def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Trainin
         "test": read_panel(spark, f"{out}/global", since=plan.test_start),
     }
     write_splits({name: fill_numeric(part, keep=[CLIENT]) for name, part in parts.items()}, splits_path(out, parent.run_id))
-    return Training(parent.run_id, plan, fitted[-1][0], fold_metrics, averages)
+    return Training(parent.run_id, plan, model, fold_metrics, averages)
+
+
+def _mean(values: Iterable[float | None]) -> float | None:
+    known = [value for value in values if value is not None]
+    return sum(known) / len(known) if known else None
 
 
-def model_path(out: str, run_id: str, fold: int) -> str:
-    return f"{out}/models/{run_id}/fold_{fold}"
+def model_path(out: str, run_id: str, name: str) -> str:
+    return f"{out}/models/{run_id}/{name}"
 
 
 def splits_path(out: str, run_id: str) -> str:
@@ -206,18 +225,21 @@ def load_latest(spark: SparkSession, out: str, experiment: str = EXPERIMENT, nam
     child = runlog.latest(folds, F.col("fold").desc(), F.col("start_ts").desc()).first()
     if child is None:
         return None
-    wanted = (F.col("run_id") == parent["run_id"]) & (F.col("key") == "exog_cols") | (
-        F.col("run_id") == child["run_id"]
-    ) & (F.col("key") == "categorical_feature")
-    lists = {
-        row["key"]: row["names"]
-        for row in runlog.params(spark, f"{out}/log").where(wanted).select(
-            "key", runlog.text_list("value").alias("names")
-        ).collect()
+    noted = {
+        (row["run_id"], row["key"]): row
+        for row in runlog.params(spark, f"{out}/log")
+        .where(F.col("run_id").isin(parent["run_id"], child["run_id"]))
+        .where(F.col("key").isin("exog_cols", "categorical_feature", "final_model"))
+        .withColumn("names", F.when(F.col("key") != "final_model", runlog.text_list("value")))
+        .collect()
     }
-    model = Forecaster.load(spark, model_path(out, parent["run_id"], child["fold"]))
+    kept = noted[parent["run_id"], "final_model"]["value"]
     return Stored(
-        parent["run_id"], child["fold"], lists.get("exog_cols", []), lists.get("categorical_feature", []), model
+        parent["run_id"],
+        child["fold"],
+        noted[parent["run_id"], "exog_cols"]["names"],
+        noted[child["run_id"], "categorical_feature"]["names"],
+        Forecaster.load(spark, model_path(out, parent["run_id"], kept)),
     )
 
 
@@ -236,7 +258,8 @@ def evaluate(spark: SparkSession, out: str, run_id: str, model: str = "GBT Globa
     """The evaluation row of a run's scored test part, and the errors of every client in it."""
     scored = read_panel(spark, f"{out}/predictions/{run_id}")
     trained = read_split(spark, splits_path(out, run_id), "train")
-    return evaluation_row(scored, pooled_scale(pooled_steps(trained)), model), client_errors(scored, scored)
+    steps = pooled_steps(trained, long_keys=long_series(trained, CLIENT))
+    return evaluation_row(scored, pooled_scale(steps), model), client_errors(scored, scored)
 
 
 def series_of(spark: SparkSession, out: str, model: Forecaster, client, test_size: str) -> DataFrame:

@@ -69,7 +69,7 @@ def test_an_empty_validation_window_ends_the_walk(spark):
     assert len(plan.folds) > 2
     usable = {r["fold"]: r["usable"] for r in fold_counts(df, plan).collect()}
     assert usable[1] and not usable[2]
-    assert [f.fold for f in usable_folds(df, plan).folds] == [1]
+    assert [f.fold for f in usable_folds(df, plan)[0].folds] == [1]
 
 
 def test_no_usable_fold(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daypanel.operators.blocks import dense_index, in_blocks, long_series
 from daypanel.operators.history import add_history
+from daypanel.operators.naive import lag_forecast, series_scale
 
 SCHEMA = "client_id string, date date, total_consumption double"
 START = date(2024, 1, 1)
@@ -61,6 +62,29 @@ def test_long_series_in_blocks_equal_one_window(spark, blocks_rows):
     pd.testing.assert_frame_equal(left, right, rtol=1e-9, atol=1e-9)
 
 
+def test_copies_of_one_row_are_cut_like_any_others(spark):
+    rows = [("hot", START, 7.0)] * 400 + [("hot", START + timedelta(days=1), float(n)) for n in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    keys = long_series(df, "client_id", 50)
+    blocks = in_blocks(df, ["client_id", "date", "total_consumption"], 8).groupBy("_block").count().collect()
+    assert max(r["count"] for r in blocks) < 150
+    order = ["date", "total_consumption"]
+    done = add_history(df, order=order, long_keys=keys, max_series_rows=50).orderBy("day_counter").collect()
+    assert [r["day_counter"] for r in done] == list(range(1, 431))
+    values = [r["total_consumption"] for r in done]
+    assert values == [7.0] * 400 + [float(n) for n in range(30)]
+    assert [r["consumption_lag_15"] for r in done] == [None] * 15 + values[:-15]
+
+
+def test_naive_forecast_of_long_series(spark):
+    df = panel(spark, a=[(d, float(d * d)) for d in range(200)], b=[(0, 1.0), (1, 4.0)])
+    keys = long_series(df, "client_id", 20)
+    done = lag_forecast(df, long_keys=keys, max_series_rows=20).where("client_id = 'a'").orderBy("date").collect()
+    assert [r["prediction"] for r in done] == [None] + [float(d * d) for d in range(199)]
+    scales = {r["client_id"]: r["scale"] for r in series_scale(df, long_keys=keys, max_series_rows=20).collect()}
+    assert scales == {"a": pytest.approx(199.0), "b": 3.0}
+
+
 def test_no_long_series_means_no_second_path(spark):
     assert long_series(panel(spark, a=[(0, 1.0)]), "client_id", 10) is None
 

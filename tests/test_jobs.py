@@ -3,6 +3,7 @@
 from datetime import date, timedelta
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,7 +70,9 @@ def test_written_tables(spark, built):
     part = tables.read_panel(spark, f"{out}/global", since, before)
     assert part.count() == 6 * (before - since).days
     plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(period" in plan.replace("PartitionFilters: [(", "PartitionFilters: [") or "period" in plan
+    scan = plan[plan.index("FileScan"):]
+    assert re.search(r"PartitionFilters: \[.*period.*2023-02.*2023-04", scan)
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(date,2023-02-10\).*LessThan\(date,2023-04-03\)", scan)
 
 
 def test_long_series_give_the_same_table(spark, raw, built, tmp_path):
@@ -108,6 +111,17 @@ def test_latest_run_scores_the_test_part(spark, built, trained):
     assert {r["role"] for r in view.select("role").distinct().collect()} == {"history", "test", "prediction"}
 
 
+def test_refit_on_everything_before_the_test_part(spark, built):
+    out, settings = built[0], Settings(rounds=2, max_depth=2, refit_on_all=True)
+    run = jobs.train(spark, out, SIZES, settings, experiment="refit")
+    stored = jobs.load_latest(spark, out, "refit")
+    assert stored.run_id == run.run_id
+    rows = built[1].where(F.col("date") >= F.lit(run.plan.test_start)).orderBy("client_id", "date")
+    kept, last_fold = stored.model, Forecaster.load(spark, jobs.model_path(out, run.run_id, "fold_2"))
+    refit, loaded, other = ([r["prediction"] for r in m.score(rows).collect()] for m in (run.model, kept, last_fold))
+    assert refit == loaded != other
+
+
 def test_a_failed_run_is_recorded_as_failed(spark, built):
     out = built[0]
     with pytest.raises(WindowSizeError):
