@@ -22,7 +22,7 @@ from daypanel.session import local_session
 from daypanel.sources import panels, tables
 
 HEADLINE = [
-    "feature_table", "global_table", "lag_features", "rolling_mean", "rolling_std", "history_of_raw_lines",
+    "feature_table", "global_table", "global_table_long", "lag_features", "rolling_mean", "rolling_std", "history_of_raw_lines",
     "impute_climate", "calendar_table", "readings_with_climate", "holdout_split", "walk_forward_assign", "fold_bounds",
     "metrics_global", "client_metrics", "mase_pooled", "mase_by_series", "fold_metrics_naive", "test_evaluation",
     "series_long", "client_role_series", "category_index", "run_children", "newest_child_run",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from daypanel.catalog.sql import (
-    CLIENTS, CLIMATE, CLIMATE_PANEL, ERRORS, FEATURE_SQL, FOLD_PANEL, FOLD_SCORES, JOINED, LINEAR, LONG_DAYS,
+    CLIENTS, CLIMATE, CLIMATE_PANEL, ERRORS, FEATURE_SQL, FOLD_PANEL, FOLD_SCORES, JOINED, LINEAR, LONG_CLIMATE_PANEL, LONG_DAYS,
     LONG_PANEL, MAE, NEIGHBOURS, POOLED_STEPS, RUNS, SHORT_PANEL, calendar, features, over, r2, r6,
 )
 
@@ -52,11 +52,15 @@ SHORT_CALENDAR = (
     f"d AS (SELECT DISTINCT dt FROM clima), "
     f"calendario AS (SELECT dt, {calendar('day_of_week_name', 'month', 'tipo_feriado')} FROM d)"
 )
-GLOBAL = (
-    f"{CLIMATE_PANEL}, {JOINED}, features AS (SELECT dt, client_id, {features(*FEATURE_SQL)} FROM joined), "
+GLOBAL_OF = (
+    f"{JOINED}, features AS (SELECT dt, client_id, {features(*FEATURE_SQL)} FROM joined), "
     f"{SHORT_CALENDAR}, globals AS (SELECT * FROM features JOIN calendario USING (dt))"
 )
+GLOBAL = f"{CLIMATE_PANEL}, {GLOBAL_OF}"
 CHECKS["global_table"] = f"WITH {GLOBAL} SELECT * FROM globals"
+CHECKS["global_table_long"] = f"WITH {LONG_CLIMATE_PANEL}, {GLOBAL_OF} SELECT * FROM globals"
+CHECKS["impute_climate_long"] = f"""
+WITH {LONG_CLIMATE_PANEL} SELECT dt, region, {r6('temperature')} AS temperature, humidity FROM clima"""
 NUMBERS = [name for name in FEATURE_SQL if name != "day_counter"]
 CHECKS["null_fill"] = f"""
 WITH {GLOBAL} SELECT dt, client_id, day_counter, day_of_week_name, month, tipo_feriado,

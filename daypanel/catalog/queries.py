@@ -64,7 +64,7 @@ def short_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def short_calendar(climate: DataFrame) -> DataFrame:
+def climate_calendar(climate: DataFrame) -> DataFrame:
     days = distinct_days(climate)
     return calendar_table(days, panels.holidays_of(days))
 
@@ -230,7 +230,7 @@ def feature_table(spark, sf_dir):
 def short_global(spark, sf_dir) -> DataFrame:
     climate = climate_table(spark, sf_dir)
     rows = features.feature_table(panels.readings(spark, sf_dir), panels.clients(spark, sf_dir), climate)
-    return features.global_table(rows, short_calendar(climate))
+    return features.global_table(rows, climate_calendar(climate))
 
 
 @register
@@ -238,6 +238,14 @@ def global_table(spark, sf_dir):
     return out(short_global(spark, sf_dir), *FEATURE_ROUNDED)
 
 
+@register
+def global_table_long(spark, sf_dir):
+    """The global table over seven years, with every season and holiday."""
+    climate = materialised(gaps.impute_climate(panels.long_climate(spark, sf_dir)), "climate")
+    rows = features.feature_table(panels.long_readings(spark, sf_dir), panels.long_clients(spark, sf_dir), climate)
+    return out(features.global_table(rows, climate_calendar(climate)), *FEATURE_ROUNDED)
+
+
 @register
 def null_fill(spark, sf_dir):
     return out(views.fill_numeric(short_global(spark, sf_dir)), *FEATURE_ROUNDED)
@@ -280,6 +288,11 @@ def impute_climate(spark, sf_dir):
     return out(gaps.impute_climate(panels.climate(spark, sf_dir)), "temperature")
 
 
+@register
+def impute_climate_long(spark, sf_dir):
+    return out(gaps.impute_climate(panels.long_climate(spark, sf_dir)), "temperature")
+
+
 # Calendar
 
 

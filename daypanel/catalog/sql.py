@@ -38,6 +38,22 @@ IMPUTED = f"""clima AS (
 SHORT_PANEL = f"{CLIENTS}, {READINGS}"
 CLIMATE_PANEL = f"{SHORT_PANEL}, {CLIMATE}, {NEIGHBOURS}, {IMPUTED}"
 
+# The same tables over the seven years of the long panel.
+LONG_CLIENTS = """clientes AS (
+  SELECT s_suppkey AS client_id, r_name AS region
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+LONG_READINGS = """consumo AS (
+  SELECT l_suppkey AS client_id, CAST(l_shipdate AS DATE) AS dt,
+         CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS kwh
+  FROM lineitem GROUP BY 1, 2)"""
+LONG_CLIMATE = """clima_raw AS (
+  SELECT region, CAST(l_shipdate AS DATE) AS dt,
+         CASE WHEN MOD(DAY(CAST(l_shipdate AS DATE)) + LENGTH(region), 7) < 3 THEN NULL
+              ELSE CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / 10 END AS temperature,
+         CAST(COUNT(*) AS DOUBLE) AS humidity
+  FROM lineitem JOIN clientes ON l_suppkey = client_id GROUP BY 1, 2)"""
+LONG_CLIMATE_PANEL = f"{LONG_CLIENTS}, {LONG_READINGS}, {LONG_CLIMATE}, {NEIGHBOURS}, {IMPUTED}"
+
 JOINED = """joined AS (
   SELECT c.dt, c.client_id, c.kwh AS y, cl.temperature AS temp, cl.humidity AS hum
   FROM consumo c JOIN clientes k ON c.client_id = k.client_id
@@ -96,10 +112,7 @@ def calendar(*names: str) -> str:
     return ", ".join(f"{CALENDAR_SQL[name]} AS {name}" for name in names)
 
 
-LONG_PANEL = """consumo AS (
-  SELECT l_suppkey AS client_id, CAST(l_shipdate AS DATE) AS dt,
-         CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS kwh
-  FROM lineitem GROUP BY 1, 2),
+LONG_PANEL = f"""{LONG_READINGS},
 panel AS (
   SELECT client_id, dt, kwh AS y, LAG(kwh, 1) OVER (PARTITION BY client_id ORDER BY dt) AS p FROM consumo)"""
 

@@ -125,7 +125,8 @@ def fold_days(spark: SparkSession, plan: FoldPlan) -> DataFrame:
         parts.append((f.fold, "train", f.train_start, f.train_end))
         parts.append((f.fold, "validation", f.train_end, f.val_end))
     bounds = spark.createDataFrame(parts, "fold bigint, split string, since date, before date")
-    return bounds.select("fold", "split", F.explode(F.sequence("since", F.date_sub("before", 1))).alias("date"))
+    # windows of less than a day can be empty, and a sequence would run backwards through them
+    return bounds.where("since < before").select("fold", "split", F.explode(F.sequence("since", F.date_sub("before", 1))).alias("date"))
 
 
 def day_entries(plan: FoldPlan) -> int:

@@ -25,7 +25,7 @@ from daypanel.sources.tables import (
     CLIENT_SCHEMA, CLIMATE_SCHEMA, READING_SCHEMA, read_csv, read_panel, read_split, write_panel, write_splits,
 )
 
-EXPERIMENT = "Walk-Forward Validation"
+EXPERIMENT = "panel_forecast"
 TRAIN_RUN = "walk_forward"
 
 

@@ -23,11 +23,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with the name of their region."""
+    return _with_region(spark, sf_dir, table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("client_id"), F.col("c_nationkey").alias("nation")
+    ))
+
+
+def long_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with the name of their region."""
+    return _with_region(spark, sf_dir, table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("client_id"), F.col("s_nationkey").alias("nation")
+    ))
+
+
+def _with_region(spark: SparkSession, sf_dir: str, members: DataFrame) -> DataFrame:
     return (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        members.join(table(spark, sf_dir, "nation"), F.col("nation") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("c_custkey").alias("client_id"), F.col("r_name").alias("region"))
+        .select("client_id", F.col("r_name").alias("region"))
     )
 
 
@@ -41,27 +53,37 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily figures of each region with a regular pattern of missing temperatures.
+    """Daily figures of each region, from the events of its customers."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("client_id"), F.col("ts").cast("date").alias("date"), F.col("value").alias("amount")
+    )
+    return _regional(events, clients(spark, sf_dir))
+
+
+def long_climate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily figures of each region, from the lines of its suppliers."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("client_id"), F.col("l_shipdate").cast("date").alias("date"),
+        F.col("l_quantity").alias("amount"),
+    )
+    return _regional(lines, long_clients(spark, sf_dir))
+
 
-    Events are first summed per user and day, so that the join carries daily rows and the
-    few regions never meet the raw events.
+def _regional(facts: DataFrame, members: DataFrame) -> DataFrame:
+    """Totals per region and day with a regular pattern of missing temperatures.
+
+    Facts are first summed per client and day, so that the join carries daily rows and the few
+    regions never meet the raw facts.
     """
-    per_user = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.col("user_id").alias("client_id"), F.col("ts").cast("date").alias("date"))
-        .agg(F.sum(F.col("value").cast(_AMOUNT)).alias("total"), F.count("*").alias("hits"))
+    daily = facts.groupBy("client_id", "date").agg(
+        F.sum(F.col("amount").cast(_AMOUNT)).alias("total"), F.count("*").alias("hits")
     )
     missing = (F.dayofmonth("date") + F.length("region")) % 7 < 3
     return (
-        per_user.join(clients(spark, sf_dir), "client_id")
+        daily.join(members, "client_id")
         .groupBy("region", "date")
         .agg(F.sum("total").cast("double").alias("total"), F.sum("hits").cast("double").alias("humidity"))
-        .select(
-            "date",
-            "region",
-            F.when(~missing, F.col("total") / 10).alias("temperature"),
-            "humidity",
-        )
+        .select("date", "region", F.when(~missing, F.col("total") / 10).alias("temperature"), "humidity")
     )
 
 

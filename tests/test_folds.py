@@ -76,3 +76,11 @@ def test_no_usable_fold(spark):
     hole = FoldPlan(FIRST, LAST, LAST, (Fold(1, FIRST, date(2024, 1, 1), date(2024, 2, 1)),))
     with pytest.raises(WindowSizeError):
         usable_folds(daily(spark), hole)
+
+
+def test_windows_shorter_than_a_day(spark):
+    df = daily(spark, last=date(2023, 1, 6))
+    plan = fold_plan_of(df, "36 hours", "12 hours", "1 day")
+    usable = {r["fold"]: (r["train_rows"], r["val_rows"]) for r in fold_counts(df, plan).collect()}
+    assert plan.folds[0].train_end == plan.folds[0].val_end == date(2023, 1, 3)
+    assert usable[1] == (4, 0) and usable[2] == (4, 2)
