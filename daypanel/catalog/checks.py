@@ -218,3 +218,8 @@ WITH {GLOBAL}, filled AS (SELECT *, COALESCE(total_consumption, 0) AS y0 FROM gl
     f"SELECT client_id, dt, CAST({position} AS BIGINT) AS position, CAST({element} AS DOUBLE) AS value FROM filled"
     for position, element in enumerate(ELEMENTS.values())
 )
+
+# Scores have no SQL, but which rows are scored does.
+TESTED = f"WITH RECURSIVE {FOLD_PANEL}, tested AS (SELECT consumo.* FROM consumo, limits WHERE dt >= test_start)"
+CHECKS["batch_score_complete"] = f"{TESTED} SELECT client_id, dt, kwh AS total_consumption, TRUE AS scored FROM tested"
+CHECKS["model_roundtrip"] = f"{TESTED} SELECT client_id, dt, TRUE AS same_score FROM tested"

@@ -597,17 +597,23 @@ def prediction_preview(spark, sf_dir):
     return out(views.preview(model.score(test)))
 
 
+@register
+def batch_score_complete(spark, sf_dir):
+    """Every row of the test part with its inputs unchanged and one finite score."""
+    model, test = last_fold_model(spark, sf_dir)
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < 1e9)
+    return out(model.score(test).select("client_id", "date", "total_consumption", finite.alias("scored")))
+
+
 @register
 def model_roundtrip(spark, sf_dir):
-    """Scores of a model beside those of the same model saved and loaded."""
+    """Whether a model that was saved and loaded scores every row as it did before."""
     model, test = last_fold_model(spark, sf_dir)
     path = new_path(spark, "model")
     model.save(path)
     again = Forecaster.load(spark, path)
-    return out(
-        again.score(model.score(test).withColumnRenamed("prediction", "before"))
-        .select("client_id", "date", "before", F.col("prediction").alias("after"))
-    )
+    both = again.score(model.score(test).withColumnRenamed("prediction", "before"))
+    return out(both.select("client_id", "date", F.col("before").eqNullSafe(F.col("prediction")).alias("same_score")))
 
 
 @register

@@ -186,6 +186,11 @@ def test_nan_is_missing(spark, tmp_path):
     assert [r["consumption_kwh"] for r in rows] == [None, 1.5]
 
 
+def test_text_that_is_no_date_becomes_null(spark):
+    df = spark.createDataFrame([("2023-01-31",), ("2023-02-30",), ("x",)], "d string")
+    assert [r["d"] for r in df.select(tables.day("d").alias("d")).collect()] == [date(2023, 1, 31), None, None]
+
+
 def test_csv_splits(spark, tmp_path):
     df = spark.createDataFrame([(1, date(2023, 1, 1), 2.5), (2, date(2023, 1, 2), None)], "client_id int, date date, y double")
     tables.write_splits({"train": df.limit(1), "test": df}, str(tmp_path / "s"), "csv")
