@@ -626,6 +626,6 @@ def fold_metrics_gbt(spark, sf_dir):
         model = fit(rows.where(day < F.lit(fold.train_end)), held, QUICK)
         return model.score(held).select(F.lit(fold.fold).cast("bigint").alias("fold"), "total_consumption", "prediction")
 
-    with ThreadPoolExecutor(2) as pool:
+    with ThreadPoolExecutor(4) as pool:
         scored = reduce(DataFrame.unionByName, pool.map(one_fold, plan.folds))
     return scores.fold_errors(scored, pooled_scale_by_fold(pooled_steps(rows), plan))

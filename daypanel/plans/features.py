@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daypanel.operators.history import add_history
 
+# The columns of the two tables in their order.
 FEATURE_COLUMNS = [
     "date", "client_id", "total_consumption", "avg_temperature", "avg_humidity", "temp_humid_interaction",
     "day_counter", "consumption_lag_1", "consumption_lag_2", "consumption_lag_3", "consumption_lag_4",
