@@ -4,14 +4,15 @@ Documents are sets of word shingles. Equal sets form a class, and one row stands
 sketch of minwise tokens. In each of several independent trees a node draws a few sketch coordinates and sends every
 class to a child named by the value it has there, so that similar sets meet again and again and others part soon.
 
-* A node of few classes compares all of them.
-* A node in which most classes look like the smallest one (the pivot) is a tight group: only the pairs with the pivot
-  are made. They join the group; a second round compares what is still apart in it.
-* Any other node compares its classes with the pivot and branches again, as long as such nodes are left; after
-  ``LEVELS`` levels they are treated like tight ones.
-
-Pairs are filtered by set sizes and sketches and then confirmed on the full sets. Only confirmed links join classes, so
-results hold no false link. A pair at the threshold is missed by one tree with probability ``q``, the solution of
+* A small node is closed: its classes are compared in pairs by size and sketch.
+* A large node in which many classes look like the smallest one (the pivot) is dense; branching would not thin it, so it
+  is closed as a whole.
+* Any other node branches again; after ``LEVELS`` levels it is closed.
+
+Classes that met in a closed node form coarse groups, and all comparisons that are left happen inside these, exhaustively
+and on the full sets. A group of many tokens is cut into blocks by hash, and every pair of blocks is a task of bounded
+size. A task returns a spanning forest of its links, so a group of n copies gives n rows and not n*n, and no link between
+components is lost. A pair at the threshold is missed by one tree with probability ``q``, the solution of
 ``q = (1 - s + s*q)**draws``; the number of trees follows from the target recall.
 
 Everything is keyed by class, so exact copies cost one row each. No row leaves a join or an aggregate for the driver.
@@ -35,10 +36,14 @@ from daypanel.sources.scratch import materialised
 TOKENS = 32
 DRAWS = 3
 #: Largest node that compares all its classes.
-SMALL = 24
-LEVELS = 6
-#: A node is tight if this share of its other classes agrees with the pivot in ``ALIKE`` tokens.
-TIGHT_SHARE, ALIKE = 0.8, 25
+SMALL = 16
+LEVELS = 3
+#: A large node is dense if this share of its classes may be similar to the pivot.
+DENSE = 0.25
+#: Tokens of a block: two blocks have to fit into a task.
+BLOCK_TOKENS = 1_500_000
+#: Columns of the token matrix that are multiplied at once.
+COLUMNS = 2048
 SKETCH_SCHEMA = "doc_id long, n_shingles long, class_key long, sketch array<int>"
 
 
@@ -119,27 +124,74 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return texts.join(wanted, "doc_id").select("doc_id", "text", "key").mapInArrow(_set_builder(k), "key long, tokens binary")
 
 
-def _confirmer(percent: int):
+def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of sets reach the threshold, as a square matrix; shared tokens are counted by matrix products."""
+    n = len(sets)
+    sizes = np.asarray([len(s) for s in sets], np.float64)
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes.astype(np.int64))
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    fresh = np.concatenate([[True], tokens[1:] != tokens[:-1]])
+    number = np.cumsum(fresh) - 1
+    common = np.bincount(number)[number] > 1  # a token of one set is shared with none
+    number, owner = number[common], owner[common]
+    number = np.unique(number, return_inverse=True)[1]
+    shared = np.zeros((n, n), np.float32)
+    for low in range(0, int(number.max()) + 1 if len(number) else 0, COLUMNS):
+        a, b = np.searchsorted(number, [low, low + COLUMNS])
+        block = np.zeros((n, COLUMNS), np.float32)
+        block[owner[a:b], number[a:b] - low] = 1
+        shared += block @ block.T
+    return 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+
+
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Spanning forest of a link matrix, as (root, member) pairs."""
+    left, out = np.ones(len(linked), bool), []
+    for root in range(len(linked)):
+        if not left[root]:
+            continue
+        left[root] = False
+        front = [root]
+        while len(front):
+            reached = np.flatnonzero(linked[front].any(0) & left)
+            left[reached] = False
+            out += [(root, int(x)) for x in reached]
+            front = reached
+    return out
+
+
+def _comparer(percent: int):
+    def links(keys: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        found = _forest(_linked(sets, percent)) if len(keys) > 1 else []
+        pairs = [pa.array([keys[x[i]] for x in found], pa.int64()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(pairs, ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, members = None, {}
         for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            good = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                a, b = np.frombuffer(left[i].as_buffer(), U), np.frombuffer(right[i].as_buffer(), U)
-                both = np.concatenate([a, b])
-                both.sort()
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                good[i] = 100 * shared >= percent * (len(a) + len(b) - shared)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
+            for task, key, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if task != group:
+                    if members:
+                        yield links(list(members), list(members.values()))
+                    group, members = task, {}
+                members[key] = np.frombuffer(tokens.as_buffer(), U)
+        if members:
+            yield links(list(members), list(members.values()))
 
     return run
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes whose full sets reach the threshold."""
-    joined = pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("left")), "a")
-    joined = joined.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("right")), "b")
-    return joined.select("a", "b", "left", "right").mapInArrow(_confirmer(percent), "a long, b long")
+def links_within(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that span the components of each coarse group. ``groups`` has (key, label, n)."""
+    sizes = groups.groupBy("label").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).alias("blocks"))
+    block = F.pmod(F.xxhash64("key"), F.col("blocks"))
+    # block i meets every block j: the task is named by the ordered pair
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = groups.join(sizes, "label").select("key", "label", block.alias("own"), other)
+    dealt = dealt.select("key", F.struct("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("pair"))
+    tasks = dealt.join(sets, "key").select(F.xxhash64("pair").alias("task"), "key", "tokens")
+    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_comparer(percent), "a long, b long")
 
 
 def similar_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -152,7 +204,7 @@ def similar_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
     )
     equal = F.zip_with("sketch_a", "sketch_b", lambda x, y: (x == y).cast("int"))
     matches = F.aggregate(equal, F.lit(0), lambda total, x: total + x)
-    return sized.withColumn("matches", matches).where(F.col("matches") >= least_matches(percent / 100)).select("a", "b", "matches")
+    return sized.withColumn("matches", matches).where(F.col("matches") >= least_matches(percent / 100)).select("a", "b")
 
 
 def _children(node: Column, sketch: Column) -> Column:
@@ -164,37 +216,33 @@ def _branched(rows: DataFrame) -> DataFrame:
     return rows.select("key", F.explode(_children(F.col("node"), F.col("sketch"))).alias("node"))
 
 
-def candidate_pairs(classes: DataFrame, percent: int, trees: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a, b), and the nodes (node, key) that were compared with their pivot only."""
+def meetings(classes: DataFrame, percent: int, trees: int) -> DataFrame:
+    """Pairs (a, b): similar sketches from small nodes, and every class of a node closed as a whole with its pivot."""
     roots = F.explode(F.array(*[F.lit(t).cast("long") for t in range(trees)])).alias("node")
     level = _branched(classes.select("key", "sketch", roots))
-    found, stars = [], []
+    found = []
     for depth in range(LEVELS):
         level = materialised(level, f"level-{depth}")
         sizes = level.groupBy("node").agg(F.count("*").alias("size"), F.min("key").alias("pivot")).where("size > 1")
         rows = materialised(level.join(sizes, "node"), f"nodes-{depth}")
+        # the pivot's pairs are filtered first; other pairs of a small node only matter if it holds three or more
         small = rows.where(F.col("size") <= SMALL)
         pairs = small.select("node", F.col("key").alias("a")).join(small.select("node", F.col("key").alias("b")), "node")
-        found.append(similar_sketches(pairs.where("a < b").select("a", "b").distinct(), classes, percent))
+        found.append(materialised(similar_sketches(pairs.where("a < b").select("a", "b").distinct(), classes, percent), f"pairs-{depth}"))
         large = rows.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
+        if depth == LEVELS - 1:
+            found.append(large.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct())
+            break
         star = large.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
-        star = materialised(similar_sketches(star, classes, percent), f"stars-{depth}")
-        found.append(star)
-        alike = star.where(F.col("matches") >= ALIKE).select(F.col("a").alias("pivot"), F.col("b").alias("key"), F.lit(1).alias("alike"))
+        alike = similar_sketches(star, classes, percent).select(F.col("a").alias("pivot"), F.col("b").alias("key"), F.lit(1).alias("alike"))
         judged = materialised(large.join(alike, ["pivot", "key"], "left"), f"judged-{depth}")
-        share = F.sum(F.coalesce("alike", F.lit(0))) >= TIGHT_SHARE * (F.max("size") - 1)
-        counts = judged.groupBy("node").agg(share.alias("tight"))
-        last = depth == LEVELS - 1
-        closed = counts if last else counts.where("tight")
-        stars.append(judged.join(closed.select("node"), "node", "left_semi").select("node", "key"))
-        if not last:
-            loose = judged.join(counts.where("not tight").select("node"), "node", "left_semi").select("node", "key")
-            level = _branched(loose.join(classes.select("key", "sketch"), "key"))
-    pairs = reduce(DataFrame.unionByName, found).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    none = classes.select(F.col("key").alias("node"), "key").where("false")
-    return pairs, reduce(DataFrame.unionByName, stars, none)
+        dense = (F.sum(F.coalesce("alike", F.lit(0))) >= DENSE * (F.max("size") - 1)).alias("dense")
+        judged = judged.join(judged.groupBy("node").agg(dense), "node")
+        found.append(judged.where("dense and key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct())
+        level = _branched(judged.where("not dense").select("node", "key").join(classes.select("key", "sketch"), "key"))
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -214,16 +262,6 @@ def components(links: DataFrame) -> DataFrame:
         labels = moved.select("key", "label")
 
 
-def open_pairs(stars: DataFrame, labels: DataFrame, classes: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes that were compared with a pivot only and whose classes are still apart."""
-    placed = stars.join(labels, "key", "left").select("node", "key", F.coalesce("label", "key").alias("label"))
-    mixed = placed.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("node")
-    rest = materialised(placed.join(mixed, "node", "left_semi").distinct(), "rest")
-    other = rest.select("node", F.col("key").alias("y"), F.col("label").alias("label_y"))
-    pairs = rest.join(other, "node").where("label != label_y and key < y").select(F.col("key").alias("a"), F.col("y").alias("b")).distinct()
-    return similar_sketches(pairs.join(tried, ["a", "b"], "left_anti"), classes, percent)
-
-
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85, recall: float = 0.999999) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text; others are ignored).
 
@@ -238,13 +276,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85, recall: floa
         F.col("class_key").alias("key"), "x.doc_id", F.col("x.n_shingles").alias("n"), "x.sketch"
     )
     classes = materialised(classes, "classes")
-    pairs, stars = candidate_pairs(classes, percent, trees_for(percent / 100, recall))
-    pairs, stars = materialised(pairs, "pairs"), materialised(stars, "open-nodes")
-    links = materialised(_confirmed_links(docs, classes, pairs, k, percent), "confirmed")
-    labels = components(links)
-    more = materialised(open_pairs(stars, labels, classes, pairs, percent), "more-pairs")
-    if not more.isEmpty():
-        labels = components(links.unionByName(_confirmed_links(docs, classes, more, k, percent)))
+    coarse = components(meetings(classes, percent, trees_for(percent / 100, recall)))
+    groups = materialised(coarse.join(classes.select("key", "doc_id", "n"), "key"), "groups")
+    sets = full_sets(docs, groups.select("key", "doc_id"), k)
+    labels = components(links_within(groups.select("key", "label", "n"), sets, percent))
     same_id = named.select(F.col("class_key").alias("key"), "doc_id").distinct()
     roots = same_id.join(labels, "key", "left").select("key", "doc_id", F.coalesce("label", "key").alias("label"))
     least = roots.groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -256,12 +291,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85, recall: floa
     )
 
 
-def _confirmed_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = materialised(full_sets(docs, classes.join(ids, "key", "left_semi").select("key", "doc_id"), k), "sets")
-    return confirmed(pairs, sets, percent)
-
-
 def first_of_each_group(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that stand for their group, columns unchanged; of rows with one doc_id, one stays."""
     keep = near_duplicates(docs, **settings).where("kept and doc_id is not null").select("doc_id").distinct()
