@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypanel.llm import (
-    archives, decontamination, importance, language_id, mixing, packing, path_templates, rule_votes, set_join,
+    archives, decontamination, importance, language_id, mixing, packing, path_templates, repeats, rule_votes, set_join,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in strings of 400 bytes found at another place too."""
+    found = repeats.without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as archives and read back in the order of their capture histories."""
     merged = archives.archived(_table(spark, sf_dir, "pages"), least_bytes=0)
@@ -88,7 +94,7 @@ def op10_rule_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op2_warc, op3_url_filter, op4_packing, op5_decontamination, op6_language_id, op7_importance, op8_mixing,
+        op1_repeats, op2_warc, op3_url_filter, op4_packing, op5_decontamination, op6_language_id, op7_importance, op8_mixing,
         op9_near_duplicates, op10_rule_votes,
     )
 }
