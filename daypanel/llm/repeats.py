@@ -43,8 +43,8 @@ GRAM = 16
 #: Bands of offsets that are compared under one hash; divides REACH.
 BANDS = 4
 SHARD_ROWS = 200_000
-#: Rows of a first symbol from which on they are routed by all symbols.
-HOT_ROWS = 400_000
+#: Rows of a first symbol from which on copies are added up first and, if that isn't enough, rows routed by all symbols.
+HOT_ROWS = 100_000
 SUFFIXES = "first long, second long, right long, left long, text_key long, at int, room int, copies int"
 BYTES = wordhash.byte_values(21)
 
@@ -196,23 +196,29 @@ def repeated_intervals(suffixes: DataFrame, span: int) -> DataFrame:
     parts = max(1, -(-total // SHARD_ROWS))
     if total <= HOT_ROWS:  # no symbol can be hot
         return suffixes.repartition(parts, "first").mapInArrow(_merger(span, False), schema)
-    hot = materialised(suffixes.groupBy("first").count().where(F.col("count") > HOT_ROWS).select("first"), "hot-symbols")
-    cool = suffixes.join(hot, "first", "left_anti").repartition(parts, "first").mapInArrow(_merger(span, False), schema)
+    frequent = lambda rows: rows.groupBy("first").count().where(F.col("count") > HOT_ROWS).select("first")
+    hot = materialised(frequent(suffixes), "hot-symbols")
+    if hot.isEmpty():
+        return suffixes.repartition(parts, "first").mapInArrow(_merger(span, False), schema)
+    cool = suffixes.join(hot, "first", "left_anti")
+    keys = [c for c in suffixes.columns if c != "copies"]
+    added = suffixes.join(hot, "first", "left_semi").groupBy(*keys).agg(F.sum("copies").cast("int").alias("copies"))
+    added = materialised(added.select(*suffixes.columns), "hot-suffixes")
+    hot = materialised(frequent(added), "hot-symbols")
+    cool = cool.unionByName(added.join(hot, "first", "left_anti")).repartition(parts, "first").mapInArrow(_merger(span, False), schema)
     if hot.isEmpty():
         return cool
-    spread = suffixes.join(hot, "first", "left_semi").repartition(parts, "first", "second", "right", "left")
+    spread = added.join(hot, "first", "left_semi").repartition(parts, "first", "second", "right", "left")
     return cool.unionByName(spread.mapInArrow(_merger(span, True), schema))
 
 
-def _band(n: int, at: int, b: int, span: int) -> tuple[int, int, int, int]:
-    """(lowest offset, highest offset, start, end) of the common part of a band of offsets of an anchor."""
-    low = b * REACH // BANDS
-    high = low + REACH // BANDS - 1
-    return low, high, at - low, at - high + span
+def _edges(span: int):
+    """Per anchor to compare and band: the hash of what all strings of the band share, and the bytes around it.
 
+    The strings of band b start b*width to (b+1)*width-1 bytes before the anchor.
+    """
+    salts = mix(np.arange(1, BANDS + 1, dtype=U))
 
-def _edges(span: int):
-    """Per anchor to compare and band: the hash of what all strings of the band share, and the bytes around it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = wordhash.text_bytes(batch.column(0))
@@ -220,17 +226,23 @@ def _edges(span: int):
             out: list[list] = [[], [], [], [], [], []]
             for i, marked in enumerate(places):
                 text = data[offsets[i] : offsets[i + 1]]
-                n, raw, hashed = len(text), text.tobytes(), Hashed(text)
-                for at in set(marked):
-                    for b in range(BANDS):
-                        low, high, start, end = _band(n, at, b, span)
-                        if start < 0 or end > n:
-                            continue
-                        name = hashed.pieces(np.asarray([start]), np.asarray([end]))[0] ^ mix(np.asarray([b + 1], U))[0]
-                        for column, x in zip(out, (name, keys[i], at, b, raw[max(0, at - high) : start], raw[end : at - low + span])):
-                            column.append(x)
+                raw, hashed, width = text.tobytes(), Hashed(text), REACH // BANDS
+                at = np.repeat(np.asarray(marked, np.int64), BANDS)
+                band = np.tile(np.arange(BANDS), len(marked))
+                start = at - band * width
+                end = start - width + 1 + span
+                inside = (start >= 0) & (end <= len(text))
+                at, band, start, end = at[inside], band[inside], start[inside], end[inside]
+                out[0].append(hashed.pieces(start, end) ^ salts[band])
+                out[1].append(np.full(len(at), keys[i]))
+                out[2].append(at)
+                out[3].append(band)
+                out[4] += [raw[max(0, a - width + 1) : a] for a in start.tolist()]
+                out[5] += [raw[e : e + width - 1] for e in end.tolist()]
+            if not out[0]:
+                continue
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-            columns = [np.asarray(out[0], U).view(np.int64), *out[1:]]
+            columns = [np.concatenate(out[0]).view(np.int64), *map(np.concatenate, out[1:4]), *out[4:]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["name", "text_key", "at", "band", "before", "after"])
 
     return run
@@ -257,6 +269,10 @@ def _edge_matcher(span: int):
         name, members = None, set()
         for batch in batches:
             out: list[tuple[int, int, int]] = []
+            names = batch.column(0).to_numpy()
+            same = names[1:] == names[:-1]
+            # a name that stands alone matches nothing; the ends of a batch may go on in the next one
+            batch = batch.filter(pa.array(np.append(True, same) | np.append(same, True)))
             for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if row[0] != name:
                     out += _united(members, span)
