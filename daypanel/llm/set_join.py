@@ -36,7 +36,7 @@ from daypanel.sources.scratch import materialised
 TOKENS = 32
 DRAWS = 3
 #: Largest node that compares all its classes.
-SMALL = 16
+SMALL = 5
 LEVELS = 3
 #: A large node is dense if this share of its classes may be similar to the pivot.
 DENSE = 0.25
