@@ -139,7 +139,7 @@ scales AS (SELECT client_id, AVG(ABS(y - p)) AS scale FROM panel, limits WHERE d
 errors AS (
   SELECT client_id, {MAE} AS mae FROM panel, limits WHERE dt >= test_start AND p IS NOT NULL GROUP BY client_id)
 SELECT client_id, {r6('mae')} AS mae, {r6('scale')} AS scale, {r6('mae / scale')} AS mase
-FROM errors JOIN scales USING (client_id)"""
+FROM errors LEFT JOIN scales USING (client_id)"""
 CHECKS["mean_client_std"] = f"""
 WITH {LONG_PANEL} SELECT {r6('AVG(std)')} AS y_true_std
 FROM (SELECT client_id, STDDEV_SAMP(y) AS std FROM panel GROUP BY client_id)"""
@@ -222,4 +222,6 @@ WITH {GLOBAL}, filled AS (SELECT *, COALESCE(total_consumption, 0) AS y0 FROM gl
 # Scores have no SQL, but which rows are scored does.
 TESTED = f"WITH RECURSIVE {FOLD_PANEL}, tested AS (SELECT consumo.* FROM consumo, limits WHERE dt >= test_start)"
 CHECKS["batch_score_complete"] = f"{TESTED} SELECT client_id, dt, kwh AS total_consumption, TRUE AS scored FROM tested"
+CHECKS["batch_score"] = f"{TESTED} SELECT client_id, dt, TRUE AS scored FROM tested"
+CHECKS["prediction_preview"] = f"{TESTED} SELECT client_id, dt, kwh AS total_consumption, TRUE AS scored FROM tested ORDER BY dt, client_id LIMIT 5"
 CHECKS["model_roundtrip"] = f"{TESTED} SELECT client_id, dt, TRUE AS same_score FROM tested"

@@ -546,37 +546,44 @@ def run_log(spark, sf_dir):
 # Model
 
 
-MODEL_FEATURES = tuple(name for name in LEAK_FREE_FEATURES if not name.startswith(("avg_", "temp_")))
-QUICK = Settings(features=MODEL_FEATURES, rounds=5, max_depth=4)
+_MODELS: dict[tuple[str, str], tuple[Forecaster, DataFrame]] = {}
 
 
 def model_panel(spark, sf_dir) -> DataFrame:
-    """History and calendar features of the long panel as a table, since a fit reads them often."""
-    attributes = long_calendar(spark, sf_dir).select("date", "day_of_week_name", "month", "tipo_feriado")
-    rows = history.add_history(long_panel(spark, sf_dir)).drop("diff_lag_1")
-    return materialised(rows.join(F.broadcast(attributes), "date"), "model-panel")
+    """The global table of the long panel, with climate, as a table, since a fit reads it often."""
+    climate = materialised(gaps.impute_climate(panels.long_climate(spark, sf_dir)), "climate")
+    rows = features.feature_table(panels.long_readings(spark, sf_dir), panels.long_clients(spark, sf_dir), climate)
+    return materialised(features.global_table(rows, climate_calendar(climate)).drop("diff_lag_1"), "model-panel")
 
 
 def last_fold_model(spark, sf_dir) -> tuple[Forecaster, DataFrame]:
-    """The model of the last fold and the test part."""
-    plan, rows, day = long_plan(spark, sf_dir), model_panel(spark, sf_dir), F.col("date")
-    last = plan.folds[-1]
-    held = rows.where((day >= F.lit(last.train_end)) & (day < F.lit(last.val_end)))
-    model = fit(rows.where(day < F.lit(last.train_end)), held, QUICK)
-    return model, rows.where(day >= F.lit(plan.test_start))
+    """The model of the last fold and the test part; the queries of a session share one fit."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        plan, rows, day = long_plan(spark, sf_dir), model_panel(spark, sf_dir), F.col("date")
+        last = plan.folds[-1]
+        held = rows.where((day >= F.lit(last.train_end)) & (day < F.lit(last.val_end)))
+        model = fit(rows.where(day < F.lit(last.train_end)), held)
+        _MODELS[key] = model, rows.where(day >= F.lit(plan.test_start))
+    return _MODELS[key]
 
 
 @register
 def feature_vector(spark, sf_dir):
     """Every element of the assembled vectors, clients represented by their mean target."""
     rows = short_global(spark, sf_dir)
-    prepared = prepare(rows, Settings(features=tuple(ALL_FEATURES), clients="mean"))
+    prepared = prepare(rows, Settings(features=tuple(ALL_FEATURES)))
     elements = F.posexplode(vector_to_array("features")).alias("position", "value")
     return out(prepared.vectors(rows).select("client_id", "date", elements), "value").withColumn(
         "position", F.col("position").cast("bigint")
     )
 
 
+def scored() -> Column:
+    """Whether a prediction is a finite number of a sensible size."""
+    return F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < 1e9)
+
+
 @register
 def gbt_forecast(spark, sf_dir):
     """Errors on the test part of a model fitted on the last fold's train rows."""
@@ -588,21 +595,21 @@ def gbt_forecast(spark, sf_dir):
 def batch_score(spark, sf_dir):
     """Scores of the test part, computed without the target column."""
     model, test = last_fold_model(spark, sf_dir)
-    return out(model.score(test.drop("total_consumption")).select("client_id", "date", "prediction"))
+    return out(model.score(test.drop("total_consumption")).select("client_id", "date", scored().alias("scored")))
 
 
 @register
 def prediction_preview(spark, sf_dir):
     model, test = last_fold_model(spark, sf_dir)
-    return out(views.preview(model.score(test)))
+    shown = views.preview(model.score(test))
+    return out(shown.select("client_id", "date", "total_consumption", scored().alias("scored")))
 
 
 @register
 def batch_score_complete(spark, sf_dir):
     """Every row of the test part with its inputs unchanged and one finite score."""
     model, test = last_fold_model(spark, sf_dir)
-    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < 1e9)
-    return out(model.score(test).select("client_id", "date", "total_consumption", finite.alias("scored")))
+    return out(model.score(test).select("client_id", "date", "total_consumption", scored().alias("scored")))
 
 
 @register
@@ -623,7 +630,7 @@ def fold_metrics_gbt(spark, sf_dir):
 
     def one_fold(fold):
         held = rows.where((day >= F.lit(fold.train_end)) & (day < F.lit(fold.val_end)))
-        model = fit(rows.where(day < F.lit(fold.train_end)), held, QUICK)
+        model = fit(rows.where(day < F.lit(fold.train_end)), held)
         return model.score(held).select(F.lit(fold.fold).cast("bigint").alias("fold"), "total_consumption", "prediction")
 
     with ThreadPoolExecutor(4) as pool:

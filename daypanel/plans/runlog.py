@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,16 +61,26 @@ def append(spark: SparkSession, path: str, runs: Sequence[Run]) -> None:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/{table}")
 
 
+def _logged(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of the log; without any run yet it is empty."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(f"{path}/runs")
+    return _logged(spark, f"{path}/runs", RUNS)
 
 
 def params(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PARAMS).parquet(f"{path}/run_params")
+    return _logged(spark, f"{path}/run_params", PARAMS)
 
 
 def metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRICS).parquet(f"{path}/run_metrics")
+    return _logged(spark, f"{path}/run_metrics", METRICS)
 
 
 def latest(found: DataFrame, *newest_first: Column) -> DataFrame:

@@ -26,10 +26,13 @@ PERIOD_COLUMN = "period"
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = False, mode: str = "FAILFAST"
 ) -> DataFrame:
-    """CSV with a header line. A schema keeps the scan to one pass; inference needs two."""
-    reader = spark.read.option("header", True)
+    """CSV with a header line. A schema keeps the scan to one pass; inference needs two.
+
+    A row that doesn't fit the schema is an error; ``mode="PERMISSIVE"`` turns its bad cells into NULL.
+    """
+    reader = spark.read.option("header", True).option("mode", mode)
     if schema is not None:
         # a header that disagrees with the schema is an error, not a shifted column
         reader = reader.schema(schema).option("enforceSchema", False)
