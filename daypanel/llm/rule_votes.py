@@ -153,7 +153,7 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float =
     rows = materialised(measured(docs), "measures")
     votes = [rule.vote().alias(f"v{i}") for i, rule in enumerate(rules)]
     counted = rows.groupBy(*votes).agg(F.count("*").alias("n")).collect()  # one row per vote pattern
-    model = estimate({tuple(r[: len(rules)]): r.n for r in counted})
+    model = estimate({tuple(r[: len(rules)]): r.n for r in counted} or {(0,) * len(rules): 0})
     odds = F.lit(math.log(model.prior / (1 - model.prior)))
     for i, rule in enumerate(rules):
         v = rule.vote()
