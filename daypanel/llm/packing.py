@@ -87,7 +87,7 @@ class Encoder:
     place. Texts with other white space around blanks are encoded as they are.
     """
 
-    KEEP = 300_000
+    KEEP = 500_000
 
     def __init__(self, path: str) -> None:
         import tiktoken
@@ -109,7 +109,7 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         words = text.split(" ")
-        if len(words) < 3 or any(not w or w[0].isspace() or w[-1].isspace() for w in words):
+        if len(words) < 3 or "" in words or [w.strip() for w in words] != words:
             return self.encode(text)
         known = self.known
         return self.encode(words[0]) + b"".join([known.get(w) or self.missing(w) for w in words[1:]])
