@@ -216,6 +216,17 @@ def _branched(rows: DataFrame) -> DataFrame:
     return rows.select("key", F.explode(_children(F.col("node"), F.col("sketch"))).alias("node"))
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) of the same components: each b with its smallest a, and the other a with that one.
+
+    A class that lies under many pivots then brings one edge, and pivots are few.
+    """
+    edges = materialised(edges.distinct(), "edges")
+    least = edges.groupBy("b").agg(F.min("a").alias("low"))
+    pivots = edges.join(least, "b").where("a != low").select(F.col("low").alias("a"), F.col("a").alias("b"))
+    return least.select(F.col("low").alias("a"), "b").unionByName(pivots.distinct())
+
+
 def meetings(classes: DataFrame, percent: int, trees: int) -> DataFrame:
     """Pairs (a, b): similar sketches from small nodes, and every class of a node closed as a whole with its pivot."""
     roots = F.explode(F.array(*[F.lit(t).cast("long") for t in range(trees)])).alias("node")
@@ -233,14 +244,14 @@ def meetings(classes: DataFrame, percent: int, trees: int) -> DataFrame:
         if large.isEmpty():
             break
         if depth == LEVELS - 1:
-            found.append(large.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct())
+            found.append(_contracted(large.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))))
             break
         star = large.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
         alike = similar_sketches(star, classes, percent).select(F.col("a").alias("pivot"), F.col("b").alias("key"), F.lit(1).alias("alike"))
         judged = materialised(large.join(alike, ["pivot", "key"], "left"), f"judged-{depth}")
         dense = (F.sum(F.coalesce("alike", F.lit(0))) >= DENSE * (F.max("size") - 1)).alias("dense")
         judged = judged.join(judged.groupBy("node").agg(dense), "node")
-        found.append(judged.where("dense and key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct())
+        found.append(_contracted(judged.where("dense and key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))))
         level = _branched(judged.where("not dense").select("node", "key").join(classes.select("key", "sketch"), "key"))
     return reduce(DataFrame.unionByName, found).distinct()
 
