@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daypanel.sources.scratch import materialised
+
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 #: Code points that are held at once.
@@ -153,20 +155,16 @@ def _softmax(s: np.ndarray) -> np.ndarray:
 
 
 def _learner(state: tuple[np.ndarray, np.ndarray], idf: np.ndarray, languages: list[str], t: Training):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
         z, n = state[0].copy(), state[1].copy()
-        steps = 0
-        for frame in frames:
-            labels = frame.lang.map({x: i for i, x in enumerate(languages)}).to_numpy()
-            for number, at, x in _features(frame.text.tolist(), idf):
-                w = _weights(z[at], n[at], t)
-                g = x[:, None] * (_softmax(x @ w) - np.eye(len(languages))[labels[number]])
-                sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / t.alpha
-                z[at] += g - sigma * w
-                n[at] += g * g
-                steps += 1
-        if steps:
-            yield pd.DataFrame({"change": [pickle.dumps(((z - state[0]).astype(np.float32), (n - state[1]).astype(np.float32)))]})
+        labels = frame.lang.map({x: i for i, x in enumerate(languages)}).to_numpy()
+        for number, at, x in _features(frame.text.tolist(), idf):
+            w = _weights(z[at], n[at], t)
+            g = x[:, None] * (_softmax(x @ w) - np.eye(len(languages))[labels[number]])
+            sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / t.alpha
+            z[at] += g - sigma * w
+            n[at] += g * g
+        return pd.DataFrame({"change": [pickle.dumps(((z - state[0]).astype(np.float32), (n - state[1]).astype(np.float32)))]})
 
     return run
 
@@ -218,11 +216,12 @@ def fit(train: DataFrame, settings: Training = Training()) -> Model | None:
     unit = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
     chosen = train.where(unit < settings.max_train / max(texts, 1))
     aside = F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(10)) == 0
-    sample = chosen.where(~aside).repartition(SHARDS, F.xxhash64("doc_id", F.lit("shard")), F.xxhash64("text"))
+    shard = F.pmod(F.xxhash64("doc_id", "text", F.lit("shard")), F.lit(SHARDS))
+    sample = materialised(chosen.where(~aside).select("text", "lang", shard.alias("shard")), "sample").groupBy("shard")
     z = np.zeros((BUCKETS, len(languages)))
     n = np.zeros_like(z)
     for _ in range(settings.rounds):
-        changes = [pickle.loads(r.change) for r in sample.mapInPandas(_learner((z, n), idf, languages, settings), "change binary").collect()]
+        changes = [pickle.loads(r.change) for r in sample.applyInPandas(_learner((z, n), idf, languages, settings), "change binary").collect()]
         if changes:
             z = z + sum(c[0] for c in changes) / len(changes)
             n = n + sum(c[1] for c in changes) / len(changes)
