@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from compare import differences, duck
 from conftest import SF_DIR
+from daypanel.catalog.checks import CHECKS
+from daypanel.catalog.queries import QUERIES, last_fold_model
 
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
-MODEL_QUERIES = {"gbt_forecast", "batch_score", "prediction_preview", "fold_metrics_gbt"}
+MODEL_QUERIES = {"gbt_forecast", "fold_metrics_gbt"}
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def connection():
 
 
 def test_only_model_queries_lack_sql():
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
     assert set(QUERIES) - set(CHECKS) == MODEL_QUERIES
     assert set(CHECKS) <= set(QUERIES)
 
@@ -30,7 +32,8 @@ def test_entry_has_rows(spark):
 
 
 def test_scores_are_whole_and_finite(spark):
-    rows = QUERIES["batch_score"](spark, SF_DIR).collect()
+    model, test = last_fold_model(spark, SF_DIR)
+    rows = model.score(test.drop("total_consumption")).collect()
     assert rows and all(row["prediction"] is not None and abs(row["prediction"]) < 1e9 for row in rows)
 
 
