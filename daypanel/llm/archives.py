@@ -19,6 +19,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -123,38 +124,37 @@ def _number(name: str | None) -> int | None:
     return int(name.removeprefix("<urn:page:").removesuffix(">")) if name else None
 
 
-def capture_order(x: dict) -> tuple:
-    page = x["page_id"]
-    return x["url_key"], x["captured"], page is not None, page or 0
+def capture_order(url: str, captured: str, page: int | None) -> tuple:
+    return url, captured, page is not None, page or 0
+
+
+def _captures(path: str, data: bytes) -> Iterator[tuple]:
+    """Rows of INDEX but for the place."""
+    for at, headers, block in records(data):
+        response = headers["WARC-Type"] == "response"
+        named = headers["WARC-Payload-Digest"].removeprefix("sha1:")
+        if response and base64.b32encode(hashlib.sha1(block).digest()).decode() != named:
+            raise ValueError(f"payload of the record at byte {at} of {path} doesn't have its digest")
+        uri = headers.get("WARC-Target-URI")
+        yield (
+            _number(headers.get("WARC-Record-ID")), url_key(uri or ""), headers["WARC-Date"], headers["WARC-Type"],
+            _number(headers.get("WARC-Refers-To")), named, len(block) if response else int(headers["X-Payload-Length"]), uri, path, at,
+        )
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            data = b""
-            packed = content.as_py()
+            parts, packed = [], content.as_py()
             while packed:  # a file may hold several gzip members
                 inflate = zlib.decompressobj(31)
-                data += inflate.decompress(packed)
+                parts.append(inflate.decompress(packed))
                 packed = inflate.unused_data
-            found = []
-            for at, headers, block in records(data):
-                response = headers["WARC-Type"] == "response"
-                hashed = base64.b32encode(hashlib.sha1(block).digest()).decode() if response else None
-                named = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                if hashed not in (None, named):
-                    raise ValueError(f"payload of the record at byte {at} of {path} doesn't have its digest")
-                uri = headers.get("WARC-Target-URI")
-                found.append({
-                    "page_id": _number(headers.get("WARC-Record-ID")), "url_key": url_key(uri or ""), "captured": headers["WARC-Date"],
-                    "record_type": headers["WARC-Type"], "refers_to": _number(headers.get("WARC-Refers-To")), "payload_digest": named,
-                    "payload_bytes": len(block) if response else int(headers["X-Payload-Length"]), "uri": uri, "archive": path, "record_at": at,
-                })
-            found.sort(key=capture_order)
-            for place, x in enumerate(found):
-                x["place"] = place
+            found = sorted(_captures(path, b"".join(parts)), key=lambda x: capture_order(x[1], x[2], x[0]))
             if found:
-                yield pa.RecordBatch.from_pylist(found, schema=_SCHEMA)
+                columns = [*zip(*found), range(len(found))]
+                arrays = [pa.array(list(values), field.type) for values, field in zip(columns, _SCHEMA)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=_SCHEMA)
 
 
 _SCHEMA = pa.schema([
@@ -171,7 +171,7 @@ def read_archives(spark, path: str) -> DataFrame:
 class LoserTree:
     """K-way merge of sorted lists: each inner node keeps the loser of its match, the root's winner comes out next."""
 
-    def __init__(self, runs: list[list[dict]], key) -> None:
+    def __init__(self, runs: list[list], key) -> None:
         self.runs, self.key, self.k = runs, key, max(1, len(runs))
         self.next = [0] * self.k
         self.head = [self._key(i) for i in range(self.k)]
@@ -196,7 +196,7 @@ class LoserTree:
             at //= 2
         self.winner = winner
 
-    def __iter__(self) -> Iterator[dict]:
+    def __iter__(self) -> Iterator:
         while self.head[self.winner][0] == 0:
             i = self.winner
             yield self.runs[i][self.next[i]]
@@ -206,18 +206,18 @@ class LoserTree:
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    runs: dict[str, list[dict]] = {}
-    for batch in batches:
-        for x in batch.to_pylist():
-            runs.setdefault(x["archive"], []).append(x)  # rows of a run come in the run's order
-    out: list[dict] = []
-    for x in LoserTree([runs[r] for r in sorted(runs)], capture_order):
-        out.append(x)
-        if len(out) == 5000:
-            yield pa.RecordBatch.from_pylist(out, schema=_SCHEMA)
-            out = []
-    if out:
-        yield pa.RecordBatch.from_pylist(out, schema=_SCHEMA)
+    """The slices that all runs have in a range. Only keys and row numbers are merged; the rows stay in Arrow."""
+    slices = list(batches)
+    if not slices:
+        return
+    table = pa.Table.from_batches(slices).combine_chunks()
+    runs: dict[str, list[tuple]] = {}
+    keys = [table[name].to_pylist() for name in ("archive", "url_key", "captured", "page_id")]
+    for row, (archive, *key) in enumerate(zip(*keys)):
+        runs.setdefault(archive, []).append((capture_order(*key), row))  # rows of a run come in the run's order
+    order = [row for _, row in LoserTree([runs[name] for name in sorted(runs)], itemgetter(0))]
+    for at in range(0, len(order), 5000):
+        yield from table.take(order[at : at + 5000]).combine_chunks().to_batches()
 
 
 def merged_histories(captures: DataFrame, range_rows: int = 50_000) -> DataFrame:
