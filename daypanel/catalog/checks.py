@@ -133,6 +133,12 @@ FROM supplier LEFT JOIN scored ON client_id = s_suppkey"""
 CHECKS["mase_pooled"] = f"""
 WITH RECURSIVE {FOLD_PANEL}, {POOLED_STEPS}
 SELECT fold, {r6('AVG(step)')} AS scale FROM folds JOIN pooled ON dt < train_end GROUP BY fold"""
+CHECKS["mase_pooled_with_gaps"] = f"""
+WITH RECURSIVE {FOLD_PANEL},
+holed AS (SELECT dt, client_id, CASE WHEN (client_id + DAY(dt)) % 7 <> 0 THEN y END AS y FROM panel),
+pooled AS (
+  SELECT dt, ABS(y - LAG(y) OVER (ORDER BY dt, client_id)) AS step FROM holed WHERE y IS NOT NULL)
+SELECT fold, {r6('AVG(step)')} AS scale FROM folds JOIN pooled ON dt < train_end GROUP BY fold"""
 CHECKS["mase_by_series"] = f"""
 WITH RECURSIVE {FOLD_PANEL},
 scales AS (SELECT client_id, AVG(ABS(y - p)) AS scale FROM panel, limits WHERE dt < test_start GROUP BY client_id),

@@ -412,6 +412,14 @@ def mase_pooled(spark, sf_dir):
     return out(scales, "scale")
 
 
+@register
+def mase_pooled_with_gaps(spark, sf_dir):
+    """Scales of a panel in which every seventh value or so is missing."""
+    gone = (F.col("client_id") + F.dayofmonth("date")) % 7 == 0
+    holed = long_panel(spark, sf_dir).withColumn("total_consumption", F.when(~gone, F.col("total_consumption")))
+    return out(pooled_scale_by_fold(pooled_steps(holed), long_plan(spark, sf_dir)), "scale")
+
+
 @register
 def mase_by_series(spark, sf_dir):
     plan = long_plan(spark, sf_dir)

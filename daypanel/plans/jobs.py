@@ -20,13 +20,15 @@ from daypanel.operators.scores import METRICS, client_errors, evaluation_row, fo
 from daypanel.operators.views import fill_numeric, role_series
 from daypanel.plans import runlog
 from daypanel.plans.features import feature_table, global_table
-from daypanel.plans.forecaster import CLIENT, PREDICTION, TARGET, Forecaster, Settings, fit
+from daypanel.plans.forecaster import CLIENT, PREDICTION, TARGET, Forecaster, Settings, fit, with_targets
+from daypanel.sources.scratch import materialised
 from daypanel.sources.tables import (
     CLIENT_SCHEMA, CLIMATE_SCHEMA, READING_SCHEMA, read_csv, read_panel, read_split, write_panel, write_splits,
 )
 
 EXPERIMENT = "panel_forecast"
 TRAIN_RUN = "walk_forward"
+INGEST_RUN, SCORE_RUN, EVALUATION_RUN = "ingest", "score", "evaluation"
 
 
 @dataclass(frozen=True)
@@ -67,14 +69,20 @@ def build_features(
     out: str,
     holidays: DataFrame | Iterable[str] = BRAZIL_HOLIDAYS_2023,
     max_series_rows: int | None = MAX_SERIES_ROWS,
+    experiment: str = EXPERIMENT,
 ) -> DataFrame:
-    """Write treated climate, calendar, features and the global table; returns the last.
+    """Write treated climate, calendar, features and the global table; returns the last. Recorded in the log.
 
     Small tables are written first, so that the plan of the large ones knows their size.
     ``max_series_rows=None`` states that every series has at most one row per day and saves the
     count that looks for longer ones.
     """
     spark = readings.sparkSession
+    with runlog.recorded(spark, f"{out}/log", runlog.Run(experiment, INGEST_RUN)):
+        return _build_features(spark, clients, climate, readings, out, holidays, max_series_rows)
+
+
+def _build_features(spark, clients, climate, readings, out, holidays, max_series_rows) -> DataFrame:
     limit = {} if max_series_rows is None else {"max_series_rows": max_series_rows}
 
     def long_keys(df: DataFrame, key: str) -> DataFrame | None:
@@ -126,19 +134,19 @@ def train(
         result = _train(spark, out, sizes, settings, parallel_folds, parent, folds)
     except Exception as error:
         parent.note(status=error.reason if isinstance(error, WindowSizeError) else f"failed: {error}")
-        for run in (parent, *folds.values()):
-            run.close(runlog.FAILED)
+        parent.close(runlog.FAILED)
+        for run in folds.values():
+            if run.status != runlog.FINISHED:
+                run.close(runlog.FAILED)
         runlog.append(spark, f"{out}/log", [parent, *folds.values()])
         raise
-    for run in (parent, *folds.values()):
-        run.end_ts = run.end_ts or runlog.now()
-        run.status = runlog.FINISHED
+    parent.close(runlog.FINISHED)
     runlog.append(spark, f"{out}/log", [parent, *folds.values()])
     return result
 
 
 def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Training:
-    panel = read_panel(spark, f"{out}/global")
+    panel = with_targets(read_panel(spark, f"{out}/global"), settings)
     plan, bounds = usable_folds(panel, fold_plan_of(panel, sizes.initial_train, sizes.validation, sizes.test))
 
     def one_fold(fold: Fold) -> tuple[Forecaster, DataFrame]:
@@ -152,10 +160,10 @@ def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Trainin
             fold_val_start_date=held["first_day"],
             fold_val_end_date=held["last_day"],
         )
-        validation = read_panel(spark, f"{out}/global", fold.train_end, fold.val_end)
+        validation = with_targets(read_panel(spark, f"{out}/global", fold.train_end, fold.val_end), settings)
         model = fit(read_panel(spark, f"{out}/global", before=fold.train_end), validation, settings)
         model.save(model_path(out, parent.run_id, run.name.lower()))
-        run.end_ts = runlog.now()
+        run.close(runlog.FINISHED)
         return model, model.score(validation).select(F.lit(fold.fold).alias("fold"), TARGET, PREDICTION)
 
     with ThreadPoolExecutor(parallel_folds) as pool:
@@ -168,7 +176,7 @@ def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Trainin
         model.save(model_path(out, parent.run_id, kept))
     parent.note(final_model=kept)
 
-    targets = fill_numeric(panel.select("date", CLIENT, TARGET), keep=[CLIENT])
+    targets = panel.select("date", CLIENT, TARGET)
     steps = pooled_steps(targets, long_keys=long_series(targets, CLIENT))
     scored = reduce(DataFrame.unionByName, [predictions for _, predictions in fitted])
     table = fold_errors(scored, pooled_scale_by_fold(steps, plan)).collect()
@@ -187,7 +195,7 @@ def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Trainin
         "validation": read_panel(spark, f"{out}/global", last.train_end, last.val_end),
         "test": read_panel(spark, f"{out}/global", since=plan.test_start),
     }
-    write_splits({name: fill_numeric(part, keep=[CLIENT]) for name, part in parts.items()}, splits_path(out, parent.run_id))
+    write_splits({name: fill_numeric(with_targets(part, settings), keep=[CLIENT]) for name, part in parts.items()}, splits_path(out, parent.run_id))
     return Training(parent.run_id, plan, model, fold_metrics, averages)
 
 
@@ -244,25 +252,33 @@ def load_latest(spark: SparkSession, out: str, experiment: str = EXPERIMENT, nam
 
 
 def score(spark: SparkSession, out: str, experiment: str = EXPERIMENT) -> DataFrame:
-    """Score the stored test part with the latest model, write it and return it."""
-    stored = load_latest(spark, out, experiment)
-    if stored is None:
-        raise LookupError(f"no finished training run in {experiment!r}")
-    test = read_split(spark, splits_path(out, stored.run_id), "test")
-    path = f"{out}/predictions/{stored.run_id}"
-    write_panel(stored.model.score(test), path)
+    """Score the stored test part with the latest model, write it and return it; recorded in the log."""
+    with runlog.recorded(spark, f"{out}/log", runlog.Run(experiment, SCORE_RUN)) as run:
+        stored = load_latest(spark, out, experiment)
+        if stored is None:
+            raise LookupError(f"no finished training run in {experiment!r}")
+        run.note(model_run_id=stored.run_id, fold=stored.fold)
+        test = read_split(spark, splits_path(out, stored.run_id), "test")
+        path = f"{out}/predictions/{stored.run_id}"
+        write_panel(stored.model.score(test), path)
     return read_panel(spark, path)
 
 
-def evaluate(spark: SparkSession, out: str, run_id: str, model: str = "GBT Global") -> tuple[DataFrame, DataFrame]:
-    """The evaluation row of a run's scored test part, and the errors of every client in it."""
-    scored = read_panel(spark, f"{out}/predictions/{run_id}")
-    trained = read_split(spark, splits_path(out, run_id), "train")
-    steps = pooled_steps(trained, long_keys=long_series(trained, CLIENT))
-    return evaluation_row(scored, pooled_scale(steps), model), client_errors(scored, scored)
+def evaluate(
+    spark: SparkSession, out: str, run_id: str, model: str = "GBT Global", experiment: str = EXPERIMENT
+) -> tuple[DataFrame, DataFrame]:
+    """The evaluation row of a run's scored test part, which is recorded in the log, and the errors of every client."""
+    with runlog.recorded(spark, f"{out}/log", runlog.Run(experiment, EVALUATION_RUN)) as run:
+        run.note(model_run_id=run_id, model=model)
+        scored = read_panel(spark, f"{out}/predictions/{run_id}")
+        trained = read_split(spark, splits_path(out, run_id), "train")
+        steps = pooled_steps(trained, long_keys=long_series(trained, CLIENT))
+        overall = materialised(evaluation_row(scored, pooled_scale(steps), model), "evaluation")
+        run.measure({name: overall.first()[name] for name in METRICS})
+    return overall, client_errors(scored, scored)
 
 
 def series_of(spark: SparkSession, out: str, model: Forecaster, client, test_size: str) -> DataFrame:
     """One client's history, test and prediction rows from the whole panel."""
-    rows = read_panel(spark, f"{out}/global").where(F.col(CLIENT) == F.lit(client))
+    rows = read_panel(spark, f"{out}/global").where(F.col(CLIENT) == F.lit(client)).na.fill(0, subset=[TARGET])
     return role_series(model.score(rows), test_size)

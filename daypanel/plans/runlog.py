@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -61,6 +62,20 @@ def append(spark: SparkSession, path: str, runs: Sequence[Run]) -> None:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/{table}")
 
 
+@contextmanager
+def recorded(spark: SparkSession, path: str, run: Run) -> Iterator[Run]:
+    """Append ``run`` when the block ends: finished, or failed with its reason."""
+    try:
+        yield run
+    except Exception as error:
+        run.note(status=f"failed: {error}")
+        run.close(FAILED)
+        append(spark, path, [run])
+        raise
+    run.close(FINISHED)
+    append(spark, path, [run])
+
+
 def _logged(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table of the log; without any run yet it is empty."""
     try:

@@ -196,3 +196,55 @@ def test_csv_splits(spark, tmp_path):
     tables.write_splits({"train": df.limit(1), "test": df}, str(tmp_path / "s"), "csv")
     back = tables.read_split(spark, str(tmp_path / "s"), "test", df.schema, "csv")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_missing_targets_can_be_left_out(spark, built, tmp_path):
+    """With the option on, every figure equals that of a panel without the rows."""
+    gaps = F.col("total_consumption").isNotNull() & (F.dayofmonth("date") % 5 != 0)
+    holed = built[1].withColumn("total_consumption", F.when(gaps, F.col("total_consumption")))
+    settings, found = Settings(rounds=2, max_depth=2, drop_missing_target=True), []
+    for name, table in (("holed", holed), ("dropped", holed.where("total_consumption IS NOT NULL"))):
+        out = str(tmp_path / name)
+        tables.write_panel(table, f"{out}/global", by_month=True)
+        run = jobs.train(spark, out, SIZES, settings)
+        scored = jobs.score(spark, out)
+        row, _ = jobs.evaluate(spark, out, run.run_id)
+        assert scored.where("total_consumption IS NULL").isEmpty()
+        found.append((run.fold_metrics, row.first().asDict(), scored.count()))
+    (folds, row, rows), (folds_dropped, row_dropped, rows_dropped) = found
+    assert rows == rows_dropped
+    for fold, metrics in folds.items():
+        assert metrics == pytest.approx(folds_dropped[fold])
+    assert {k: v for k, v in row.items() if isinstance(v, float)} == pytest.approx(
+        {k: v for k, v in row_dropped.items() if isinstance(v, float)}
+    )
+
+
+def test_scores_leave_missing_targets_alone(built):
+    model = fit(built[1], None, QUICK)
+    unknown = built[1].limit(5).withColumn("total_consumption", F.lit(None).cast("double"))
+    assert [(r["total_consumption"], r["prediction"] is None) for r in model.score(unknown).collect()] == [(None, False)] * 5
+
+
+def test_every_job_is_recorded(spark, built, trained):
+    out = built[0]
+    jobs.score(spark, out)
+    jobs.evaluate(spark, out, trained.run_id)
+    with pytest.raises(LookupError):
+        jobs.score(spark, out, "nothing trained")
+    log = runlog.runs(spark, f"{out}/log")
+    names = {(r["experiment"], r["name"], r["status"]) for r in log.collect()}
+    done = {(jobs.EXPERIMENT, name, runlog.FINISHED) for name in ("ingest", "score", "evaluation", jobs.TRAIN_RUN)}
+    assert done <= names and ("nothing trained", "score", runlog.FAILED) in names
+    measured = runlog.metrics(spark, f"{out}/log").join(log.where("name = 'evaluation'").select("run_id"), "run_id")
+    assert {"mae", "rmse", "mase"} <= {r["key"] for r in measured.collect()}
+
+
+def test_finished_folds_of_a_failed_run_stay_finished(spark, built, monkeypatch):
+    out = built[0]
+    monkeypatch.setattr(jobs, "fold_errors", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        jobs.train(spark, out, SIZES, Settings(rounds=1, max_depth=1), experiment="late failure")
+    log = runlog.runs(spark, f"{out}/log").where("experiment = 'late failure'")
+    status = {(r["name"], r["status"]) for r in log.collect()}
+    assert status == {(jobs.TRAIN_RUN, runlog.FAILED), ("Fold_1", runlog.FINISHED), ("Fold_2", runlog.FINISHED)}
