@@ -88,9 +88,11 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = 16 << 20, l
     total = small.agg(F.sum("n").alias("n")).first().n or 0
     again = record_types(small.where(F.col("n") >= least_bytes)).withColumnsRenamed({"page_id": "r_id", "payload_digest": "r_digest"})
     again = again.select("r_id", "r_digest", "refers_to")
-    joined = rows.join(again, (rows.page_id == again.r_id) & (rows.payload_digest == again.r_digest), "left")
     archives = max(1, -(-total // archive_bytes))
-    spread = joined.repartition(archives, F.xxhash64("page_id", "payload_digest"))
+    # both sides are dealt to the archives before they are joined, so that payloads move once
+    again = again.repartition(archives, "r_id", "r_digest")
+    spread = rows.repartition(archives, "page_id", "payload_digest")
+    spread = spread.join(again, (spread.page_id == again.r_id) & (spread.payload_digest == again.r_digest), "left")
     spread.select(_record().alias("value")).write.option("lineSep", RECORD_END).option("compression", "gzip").text(path)
 
 
