@@ -10,9 +10,9 @@ class to a child named by the value it has there, so that similar sets meet agai
 * Any other node branches again; after ``LEVELS`` levels it is closed.
 
 Classes that met in a closed node form coarse groups, and all comparisons that are left happen inside these, exhaustively
-and on the full sets. A group of many tokens is cut into blocks by hash, and every pair of blocks is a task of bounded
-size. A task returns a spanning forest of its links, so a group of n copies gives n rows and not n*n, and no link between
-components is lost. A pair at the threshold is missed by one tree with probability ``q``, the solution of
+and on the full sets. A group of many tokens or classes is cut into blocks by hash, and every pair of blocks is a task of
+bounded size. A task returns a spanning forest of its links, so a group of n copies gives n rows and not n*n, and no link
+between components is lost. A pair at the threshold is missed by one tree with probability ``q``, the solution of
 ``q = (1 - s + s*q)**draws``; the number of trees follows from the target recall.
 
 Everything is keyed by class, so exact copies cost one row each. No row leaves a join or an aggregate for the driver.
@@ -42,6 +42,8 @@ LEVELS = 3
 DENSE = 0.25
 #: Tokens of a block: two blocks have to fit into a task.
 BLOCK_TOKENS = 1_500_000
+#: Classes of a block: short texts meet in many classes of few tokens, and a task holds a matrix of classes.
+BLOCK_CLASSES = 2_000
 #: Columns of the token matrix that are multiplied at once.
 COLUMNS = 2048
 SKETCH_SCHEMA = "doc_id long, n_shingles long, class_key long, sketch array<int>"
@@ -142,7 +144,11 @@ def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
         block = np.zeros((n, COLUMNS), np.float32)
         block[owner[a:b], number[a:b] - low] = 1
         shared += block @ block.T
-    return 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+    linked = np.empty((n, n), bool)
+    for row in range(n):  # whole numbers beyond the precision of the products' type
+        same = shared[row].astype(np.float64)
+        linked[row] = 100 * same >= percent * (sizes[row] + sizes - same)
+    return linked
 
 
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -184,7 +190,8 @@ def _comparer(percent: int):
 
 def links_within(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that span the components of each coarse group. ``groups`` has (key, label, n)."""
-    sizes = groups.groupBy("label").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).alias("blocks"))
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_TOKENS), F.ceil(F.count("*") / BLOCK_CLASSES))
+    sizes = groups.groupBy("label").agg(blocks.alias("blocks"))
     block = F.pmod(F.xxhash64("key"), F.col("blocks"))
     # block i meets every block j: the task is named by the ordered pair
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")

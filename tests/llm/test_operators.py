@@ -220,9 +220,10 @@ def test_near_duplicates(docs, rows, none):
     assert set_join.first_of_each_group(docs).columns == docs.columns
 
 
-def test_large_groups_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("limit, most", [("BLOCK_TOKENS", 3000), ("BLOCK_CLASSES", 15)])
+def test_large_groups_in_blocks(spark, monkeypatch, limit, most):
     """A dense node is closed at once, and blocks of a group lose no link."""
-    monkeypatch.setattr(set_join, "BLOCK_TOKENS", 3000)
+    monkeypatch.setattr(set_join, limit, most)
     base = prose(200, 11)
     rows = [(i, edited(base, 60 + i % 40, 100 + i)) for i in range(60)] + [(100 + i, prose(30, 500 + i)) for i in range(20)]
     found = set_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
