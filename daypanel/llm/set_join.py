@@ -231,7 +231,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
     edges = materialised(edges.distinct(), "edges")
     least = edges.groupBy("b").agg(F.min("a").alias("low"))
     pivots = edges.join(least, "b").where("a != low").select(F.col("low").alias("a"), F.col("a").alias("b"))
-    return least.select(F.col("low").alias("a"), "b").unionByName(pivots.distinct())
+    return least.select(F.col("low").alias("a"), "b").unionByName(pivots)
 
 
 def meetings(classes: DataFrame, percent: int, trees: int) -> DataFrame:
@@ -260,13 +260,14 @@ def meetings(classes: DataFrame, percent: int, trees: int) -> DataFrame:
         judged = judged.join(judged.groupBy("node").agg(dense), "node")
         found.append(_contracted(judged.where("dense and key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))))
         level = _branched(judged.where("not dense").select("node", "key").join(classes.select("key", "sketch"), "key"))
-    return reduce(DataFrame.unionByName, found).distinct()
+    return reduce(DataFrame.unionByName, found)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(key, label) for every class of a link; the label is the smallest key that can be reached."""
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = materialised(both.distinct(), "links")
+    # one pass over the links, which are computed as they are read
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = materialised(links.select(F.inline(ways)).distinct(), "links")
     labels = materialised(both.groupBy("a").agg(F.min("b").alias("near")).select(F.col("a").alias("key"), F.least("a", "near").alias("label")), "labels")
     while True:
         seen = both.join(labels.select(F.col("key").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
