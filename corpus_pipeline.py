@@ -14,6 +14,8 @@ from daypanel.sources.scratch import materialised
 
 #: A language is rejected below this calibrated probability: no better than a guess between many.
 LEAST_SCORE = 0.3
+#: Share of the union of five-word shingles, in percent, from which documents are near duplicates. op9 has its own.
+SIMILAR = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one of the smallest id."""
-    return set_join.first_of_each_group(docs)
+    return set_join.first_of_each_group(docs, percent=SIMILAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,22 @@ def test_pipeline(spark):
     assert stages["pack"](spark, mixed, SF_DIR).count() > 0
 
 
+def test_pipeline_joins_near_duplicates_from_80_percent(spark):
+    """Pairs of 0.81 to 0.84 are one document to the stage; op9's threshold of 0.85 would leave both."""
+    import brute
+    import corpus_pipeline as p
+
+    rows = []
+    for i, changed in enumerate((17, 18, 19, 20)):  # last words of 204 that are new
+        words = [f"w{i}x{j}" for j in range(204)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[: 204 - changed] + [f"n{i}x{j}" for j in range(changed)]))]
+    shares = [len(a & b) / len(a | b) for a, b in ((brute.shingle_set(rows[k][1]), brute.shingle_set(rows[k + 1][1])) for k in range(0, 8, 2))]
+    assert all(0.81 <= s <= 0.85 for s in shares)
+    found = dict(p.STAGES)["near_duplicates"](spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_DIR)
+    assert sorted(r.doc_id for r in found.collect()) == sorted(set(brute.near_components(rows, percent=80).values())) == [0, 2, 4, 6]
+    assert len(set(brute.near_components(rows).values())) == 8
+
+
 def test_entry_without_the_subpackage(tmp_path):
     code = (
         "import sys; sys.path.insert(0, '/root/repo'); sys.modules['corpus_pipeline'] = None\n"
