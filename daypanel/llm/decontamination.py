@@ -94,12 +94,8 @@ def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
     return starts
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = 5) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``docs`` (doc_id, text).
-
-    A null text has no words, is hit by nothing and is clean. Items with a null id or without words are no windows.
-    Repeated rows are judged alike, a null doc_id included. Without benchmark rows everything is clean.
-    """
+def _judged(docs: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
+    """What ``contamination`` returns, and the text's hash."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
     worded = texts.select("doc_id", "text_hash", letter_words(F.col("text")).alias("words"))
@@ -109,21 +105,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = 5) -> Da
     else:
         found = found.withColumnsRenamed({"doc_id": "c_id", "text_hash": "c_hash"})
         joined = texts.join(found, texts.doc_id.eqNullSafe(found.c_id) & (texts.text_hash == found.c_hash), "left")
-    judged = joined.select("doc_id", "starts", letter_words(F.col("text")).alias("words"))
+    judged = joined.select("doc_id", "text_hash", "starts", letter_words(F.col("text")).alias("words"))
     same = F.filter("starts", lambda c: F.slice("words", c.start + 1, F.size(c.window)) == c.window)
-    judged = judged.select("doc_id", F.size("words").cast("long").alias("n_words"), F.coalesce(same, F.array()).alias("hits"))
+    judged = judged.select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), F.coalesce(same, F.array()).alias("hits"))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda c: c["items"]))))
     spans = F.transform("hits", lambda c: F.struct(c.start.alias("start"), (c.start + F.size(c.window)).alias("stop")))
-    judged = judged.select("doc_id", "n_words", items.alias("items"), _merged_length(spans).cast("long").alias("n_hit"))
+    judged = judged.select("doc_id", "text_hash", "n_words", items.alias("items"), _merged_length(spans).cast("long").alias("n_hit"))
     return judged.select(
-        "doc_id", "n_words", "n_hit",
+        "doc_id", "text_hash", "n_words", "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * percent)).alias("contaminated"),
     )
 
 
+def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = 5) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``docs`` (doc_id, text).
+
+    A null text has no words, is hit by nothing and is clean. Items with a null id or without words are no windows.
+    Repeated rows are judged alike, a null doc_id included. Without benchmark rows everything is clean.
+    """
+    return _judged(docs, benchmark, percent).drop("text_hash")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, columns unchanged."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("__bad")), "left_anti")
+    """The rows of ``docs`` that are not contaminated, columns unchanged. Other texts of a contaminated row's id stay."""
+    bad = _judged(docs, benchmark, 5).where("contaminated").select(F.col("doc_id").alias("__bad"), F.col("text_hash").alias("__hash")).distinct()
+    same = docs.doc_id.cast("long").eqNullSafe(F.col("__bad")) & (F.xxhash64(docs.text.cast("string")) == F.col("__hash"))
+    return docs.join(bad, same, "left_anti")

@@ -152,6 +152,14 @@ def test_decontamination(spark, docs, rows, none):
     assert decontamination.clean(docs, benchmark).columns == docs.columns
 
 
+def test_clean_documents_of_a_contaminated_id_stay(spark):
+    item = prose(30, 41)
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item), (None, prose(50, 42)), (None, None), (7, item), (7, prose(50, 43)), (8, prose(50, 44)), (8, prose(50, 44))]
+    found = decontamination.clean(spark.createDataFrame(rows, "doc_id long, text string"), benchmark)
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(repr(r) for r in rows if r[1] != item)
+
+
 def test_language(spark):
     words = {"xa": "kalo mine sura tak", "xb": "bron chet wulf drag", "xc": "äö üß ñé çà"}
     texts = [(i, " ".join(random.Random(i).choices(words[lang].split(), k=20)), lang, 1.0) for i, lang in enumerate(["xa", "xb", "xc"] * 60)]
