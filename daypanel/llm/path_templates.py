@@ -1,9 +1,10 @@
 """URL filter: exact rules first, then a tree of path templates per host.
 
-The tree is grown level by level over all distinct paths of all hosts at once. At each level, under each prefix:
+The tree is grown level by level over all distinct paths of all hosts at once, as deep as they are; a path that has ended,
+or that stands alone under its prefix, leaves the loop. At each level, under each prefix:
 
-1. a segment that is numeric or too rare among its siblings is variable and becomes its shape (digits as ``<n>``, other
-   text as ``<s>``, an extension stays);
+1. a segment with too few pages to be judged is variable and becomes its shape (digits as ``<n>``, other text as ``<s>``,
+   an extension stays), and so does a number whose share of bad labels doesn't differ from that of its siblings;
 2. branches whose share of bad labels doesn't differ from that of their siblings (two-proportion z-test) merge into
    ``*``; a branch that differs keeps its name.
 
@@ -15,6 +16,7 @@ pre-aggregated like any other.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +24,9 @@ from pyspark.sql import functions as F
 from daypanel.llm.words import LOWER, UPPER
 from daypanel.sources.scratch import materialised
 
-#: Levels that are told apart; what lies below is one ``**`` segment.
-DEPTH = 10
+NUMBER = r"^[0-9]+(\.[A-Za-z]{1,5})?$"
+#: Tables of finished paths that are read together before they are written as one.
+TABLES = 32
 
 
 @dataclass(frozen=True)
@@ -64,34 +67,44 @@ def shape(segment: Column) -> Column:
     ).otherwise(F.concat(F.lit("<s>"), ending))
 
 
-def _level(rows: DataFrame, min_share: float, min_support: int, z_limit: float) -> DataFrame:
-    """One more segment of every row's prefix; rows (host, path, prefix, rest, n, labelled, bad)."""
+def _differs(labelled: Column, bad: Column, all_labelled: Column, all_bad: Column, z_limit: float) -> Column:
+    """Two-proportion z-test of a branch against its siblings."""
+    other, other_bad = all_labelled - labelled, all_bad - bad
+    pooled = all_bad / F.greatest(all_labelled, F.lit(1))
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(labelled, F.lit(1)) + 1 / F.greatest(other, F.lit(1))))
+    apart = F.abs(bad / F.greatest(labelled, F.lit(1)) - other_bad / F.greatest(other, F.lit(1)))
+    return (labelled > 0) & (other > 0) & (spread > 0) & (apart > spread * z_limit)
+
+
+def _level(rows: DataFrame, min_support: int, z_limit: float) -> DataFrame:
+    """One more segment of every row's prefix; rows (host, path, prefix, rest, n, labelled, bad), none with an empty rest.
+
+    A row that stands alone under its prefix takes all of its segments: none of them has a sibling.
+    """
     counts = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
-    rows = rows.withColumn("segment", F.when(F.size("rest") > 0, F.get("rest", F.lit(0))))
-    branches = materialised(rows.where("segment is not null").groupBy("host", "prefix", "segment").agg(*counts), "branches")
-    parents = branches.groupBy("host", "prefix").agg(F.sum("n").alias("all"))
-    frequent = (F.col("n") >= min_support) & (F.col("n") >= F.col("all") * min_share) & ~F.col("segment").rlike(r"^[0-9]+(\.[A-Za-z]{1,5})?$")
-    named = materialised(branches.join(parents, ["host", "prefix"]).withColumn("name", F.when(frequent, F.col("segment")).otherwise(shape(F.col("segment")))), "named")
-    merged = named.groupBy("host", "prefix", "name").agg(*counts)
-    sums = merged.groupBy("host", "prefix").agg(F.sum("labelled").alias("L"), F.sum("bad").alias("B"), F.count("*").alias("k"))
-    merged = merged.join(sums, ["host", "prefix"])
-    other, other_bad = F.col("L") - F.col("labelled"), F.col("B") - F.col("bad")
-    pooled = F.col("B") / F.greatest("L", F.lit(1))
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest("labelled", F.lit(1)) + 1 / F.greatest(other, F.lit(1))))
-    apart = F.abs(F.col("bad") / F.greatest("labelled", F.lit(1)) - other_bad / F.greatest(other, F.lit(1)))
-    differs = (F.col("labelled") > 0) & (other > 0) & (spread > 0) & (apart > spread * z_limit)
+    rows = rows.withColumn("segment", F.get("rest", F.lit(0)))
+    branches = materialised(rows.groupBy("host", "prefix", "segment").agg(*counts, F.count("*").alias("paths")), "branches")
+    parents = branches.groupBy("host", "prefix").agg(F.sum("labelled").alias("L"), F.sum("bad").alias("B"), F.sum("paths").alias("all"))
+    tested = _differs(F.col("labelled"), F.col("bad"), F.col("L"), F.col("B"), z_limit)
+    own = (F.col("n") >= min_support) & (~F.col("segment").rlike(NUMBER) | tested)
+    name = F.when(own, F.col("segment")).otherwise(shape(F.col("segment")))
+    named = materialised(branches.join(parents, ["host", "prefix"]).withColumn("name", name), "named")
+    merged = named.groupBy("host", "prefix", "name").agg(*counts, F.first("L").alias("L"), F.first("B").alias("B"))
+    siblings = merged.groupBy("host", "prefix").agg(F.count("*").alias("k"))
+    differs = _differs(F.col("labelled"), F.col("bad"), F.col("L"), F.col("B"), z_limit)
     branch = F.when((F.col("k") == 1) | differs, F.col("name")).otherwise("*")
-    merged = merged.select("host", "prefix", "name", branch.alias("branch"))
-    names = named.select("host", "prefix", "segment", "name").join(merged, ["host", "prefix", "name"]).select("host", "prefix", "segment", "branch")
-    grown = rows.join(names, ["host", "prefix", "segment"], "left")
-    prefix = F.when(F.col("branch").isNotNull(), F.concat_ws("/", "prefix", "branch")).otherwise(F.col("prefix"))
-    rest = F.when(F.size("rest") > 1, F.slice("rest", 2, F.greatest(F.size("rest") - 1, F.lit(0)))).otherwise(F.array().cast("array<string>"))
+    merged = merged.join(siblings, ["host", "prefix"]).select("host", "prefix", "name", branch.alias("branch"))
+    names = named.select("host", "prefix", "segment", "name", (F.col("all") == 1).alias("alone")).join(merged, ["host", "prefix", "name"])
+    grown = rows.join(names.select("host", "prefix", "segment", "branch", "alone"), ["host", "prefix", "segment"])
+    left = F.slice("rest", 2, F.greatest(F.size("rest") - 1, F.lit(1)))
+    last = lambda s: F.when((F.col("n") >= min_support) & ~s.rlike(NUMBER), s).otherwise(shape(s))
+    ended = F.when(F.col("alone"), F.transform(left, last)).otherwise(F.array().cast("array<string>"))
+    prefix = F.concat_ws("/", "prefix", "branch", ended)
+    rest = F.when(F.col("alone"), F.array().cast("array<string>")).otherwise(left)
     return grown.select("host", "path", prefix.alias("prefix"), rest.alias("rest"), "n", "labelled", "bad")
 
 
-def templates(
-    paths: DataFrame, min_share: float = 0.02, min_support: int = 20, z_limit: float = 2.58, smoothing: float = 10.0, min_purity: float = 0.5
-) -> DataFrame:
+def templates(paths: DataFrame, min_support: int = 20, z_limit: float = 2.58, smoothing: float = 10.0, min_purity: float = 0.5) -> DataFrame:
     """host, path, template, purity, rejected for each distinct (host, path) of ``paths`` (host, path, bad: 0, 1 or null).
 
     The path of a URL that ends in ``/`` has an empty last segment, so ``/a`` and ``/a/`` differ. Without labels the
@@ -101,12 +114,18 @@ def templates(
         F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
     )
     parts = F.split(F.col("path"), "/")
-    inner = F.when(F.size(parts) > 1, F.slice(parts, 2, 100_000)).otherwise(F.array().cast("array<string>"))
-    cut = F.when(F.size(inner) > DEPTH, F.concat(F.slice(inner, 1, DEPTH - 1), F.array(F.lit("**")))).otherwise(inner)
-    rows = materialised(rows.select("host", "path", F.lit("").alias("prefix"), cut.alias("rest"), "n", "labelled", "bad"), "paths")
-    depth = rows.agg(F.max(F.size("rest")).alias("d")).first().d or 0
-    for _ in range(depth):
-        rows = materialised(_level(rows, min_share, min_support, z_limit), "level")
+    inner = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
+    rows = materialised(rows.select("host", "path", F.lit("").alias("prefix"), inner.alias("rest"), "n", "labelled", "bad"), "paths")
+    ended = []
+    while True:
+        ended.append(rows.where(F.size("rest") == 0).drop("rest"))
+        rows = rows.where(F.size("rest") > 0)
+        if rows.isEmpty():
+            break
+        if len(ended) == TABLES:
+            ended = [materialised(reduce(DataFrame.unionByName, ended), "ended")]
+        rows = materialised(_level(rows, min_support, z_limit), "level")
+    rows = reduce(DataFrame.unionByName, ended)
     good = lambda c: F.sum(F.col("labelled") - F.col("bad")).alias(c)
     overall = rows.agg(F.sum("labelled").alias("l"), good("g")).first()
     base = overall.g / overall.l if overall.l else 1.0

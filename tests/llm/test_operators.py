@@ -116,6 +116,32 @@ def test_url_filter(spark):
     assert path_templates.filtered_urls(frame.limit(0), labels, rules).count() == 0
 
 
+def judged_paths(spark, paths, **settings):
+    """{path: (template, rejected)} of (path, bad) on one host."""
+    frame = spark.createDataFrame([("h.net", p, b) for p, b in paths], "host string, path string, bad int")
+    return {r.path: (r.template, r.rejected) for r in path_templates.templates(frame, **settings).collect()}
+
+
+def test_small_sections_of_a_hot_host_are_judged_by_themselves(spark):
+    """One bad section of 60, each with less than 2 % of the host's pages, by name and by number."""
+    paths = [(f"/part-{'abcdef'[s // 10]}{'abcdefghij'[s % 10]}/{i}", int(s == 7)) for s in range(60) for i in range(30)]
+    found = judged_paths(spark, paths)
+    assert {p for p, (_, rejected) in found.items() if rejected} == {p for p, bad in paths if bad}
+    assert found["/part-ah/3"][0] == "h.net/part-ah/<n>" and found["/part-aa/3"][0] == "h.net/*/<n>"
+    paths = [(f"/{s}/{i}", int(s == 5)) for s in range(60) for i in range(30)]
+    found = judged_paths(spark, paths)
+    assert {p for p, (_, rejected) in found.items() if rejected} == {p for p, bad in paths if bad}
+    assert found["/5/1"][0] == "h.net/5/<n>" and found["/6/1"][0] == "h.net/<n>/<n>"
+
+
+def test_deep_branches_are_told_apart(spark):
+    deep = "/a" * 12
+    paths = [(f"{deep}/{'bad' if i % 2 else 'good'}/{i}", i % 2) for i in range(80)] + [("/b" * 300, None)]
+    found = judged_paths(spark, paths)
+    assert {p for p, (_, rejected) in found.items() if rejected} == {p for p, bad in paths if bad}
+    assert found["/b" * 300][0].endswith("/<s>" * 280) and found["/b" * 300][0].count("/") == 300
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_best_fit(seed):
     rng = random.Random(seed)
