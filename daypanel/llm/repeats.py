@@ -14,12 +14,14 @@ before it, its entry in the Burrows-Wheeler transform.
    at no more, and the depth at which two rows part is their common prefix. Blocks that stay together through the core
    are the repeated intervals; the left symbols tell which of them are repeated as a whole.
 3. Edges: a repeated core whose surroundings differ is the edge of a repeat. Its surroundings are compared byte by byte
-   in bands of offsets, under the hash of all that a band has in common.
+   in bands of offsets, under the hash of all that a band has in common. A name of more than ``HOT_NAMES`` rows is not
+   held in a task: its members are counted by offset and surrounding bytes instead.
 4. The covered bytes of a text are united and cut out.
 
 Hashes have 64 bits and are compared two or more at a time. Texts with equal 64-bit hashes count as copies. Work that
 meets in a task is bounded: shards by ``SHARD_ROWS``, merges by routing the suffixes of a very frequent first symbol by
-all of their symbols (each of them then counts as an edge or as a whole repeat, which stage 3 decides anyway).
+all of their symbols (each of them then counts as an edge or as a whole repeat, which stage 3 decides anyway), and edges
+by counting the members of frequent names.
 """
 
 from __future__ import annotations
@@ -45,7 +47,10 @@ BANDS = 4
 SHARD_ROWS = 200_000
 #: Rows of a first symbol from which on copies are added up first and, if that isn't enough, rows routed by all symbols.
 HOT_ROWS = 100_000
+#: Edge candidates under one name that a task may hold.
+HOT_NAMES = 20_000
 SUFFIXES = "first long, second long, right long, left long, text_key long, at int, room int, copies int"
+PIECES = "text_key long, start int, stop int"
 BYTES = wordhash.byte_values(21)
 
 
@@ -300,6 +305,41 @@ def _pieces(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()))], ["text_key", "start", "stop"])
 
 
+def _hot_pieces(edges: DataFrame, span: int) -> DataFrame:
+    """What ``_edge_matcher`` finds, by counts: a member has a key per offset, and equal keys of two members are a repeat.
+
+    Keys are counted by hash first. Those found twice go back to their members, where the bytes themselves are counted.
+    """
+    width = REACH // BANDS - 1
+    before, after = F.octet_length("before"), F.octet_length("after")
+    low, high = F.greatest(F.lit(0), F.lit(width) - after), F.least(F.lit(width), before)
+    extra = F.explode(F.when(low <= high, F.sequence(low, high))).alias("extra")
+    member = F.xxhash64("text_key", "at", "band").alias("member")
+    dealt = edges.select("name", "text_key", "at", "band", member, F.concat("before", "after").alias("around"), before.alias("n"), extra)
+    dealt = dealt.withColumn("bytes", F.substring("around", F.col("n") - F.col("extra") + 1, F.lit(width))).drop("around", "n")
+    dealt = dealt.withColumn("key", F.xxhash64("name", "extra", "bytes"))
+    # copies of a text are one member
+    twice = lambda rows, *key: rows.groupBy(*key).agg(F.min("member").alias("x"), F.max("member").alias("y")).where("x < y").select(*key)
+    near = materialised(dealt.join(materialised(twice(dealt, "key"), "hot-keys"), "key", "left_semi"), "hot-members")
+    same = ["name", "extra", "bytes"]
+    found = near.join(materialised(twice(near, *same), "hot-matches"), same, "left_semi")
+    # strings of one member start less than their length apart, so they are one piece
+    united = found.groupBy("text_key", "at", "band").agg(F.min("extra").alias("least"), F.max("extra").alias("most"))
+    start = F.col("at") - F.col("band") * (REACH // BANDS)
+    return united.select("text_key", (start - F.col("most")).alias("start"), (start - F.col("least") + span).alias("stop"))
+
+
+def _edge_pieces(edges: DataFrame, span: int) -> DataFrame:
+    """Covered pieces (text_key, start, stop) of ``edges``, which are stored."""
+    matched = lambda rows: rows.repartition("name").sortWithinPartitions("name").mapInArrow(_edge_matcher(span), PIECES)
+    if edges.count() <= HOT_NAMES:  # no name can be hot
+        return matched(edges)
+    hot = materialised(edges.groupBy("name").count().where(F.col("count") > HOT_NAMES).select("name"), "hot-names")
+    if hot.isEmpty():
+        return matched(edges)
+    return matched(edges.join(hot, "name", "left_anti")).unionByName(_hot_pieces(edges.join(hot, "name", "left_semi"), span))
+
+
 def repeated_pieces(texts: DataFrame, span: int = SPAN) -> DataFrame:
     """Per text_key the covered pieces, as an array of {start, stop}. ``texts`` has (text, text_key)."""
     suffixes = materialised(texts.select("text", "text_key").mapInArrow(_shards(span), SUFFIXES), "suffixes")
@@ -312,7 +352,7 @@ def repeated_pieces(texts: DataFrame, span: int = SPAN) -> DataFrame:
     edges = texts.join(marked, "text_key").select("text", "text_key", "places").mapInArrow(
         _edges(span), "name long, text_key long, at int, band int, before binary, after binary"
     )
-    near = edges.repartition("name").sortWithinPartitions("name").mapInArrow(_edge_matcher(span), "text_key long, start int, stop int")
+    near = _edge_pieces(materialised(edges, "edges"), span)
     pieces = whole.unionByName(near).groupBy("text_key").agg(F.collect_set(F.struct("start", "stop")).alias("pieces"))
     return pieces
 

@@ -62,6 +62,23 @@ def test_repeats_of_a_frequent_symbol(docs, rows, monkeypatch):
     assert sorted((r.doc_id, r.n_removed) for r in repeats.without_repeats(docs).collect()) == expected
 
 
+def test_repeats_of_a_frequent_edge(spark, docs, rows, monkeypatch):
+    """Members of a frequent name are counted by key and not held in a task; bytes found are the same."""
+    kept = repeats.materialised
+    made = []
+    monkeypatch.setattr(repeats, "materialised", lambda df, label: made.append((label, kept(df, label))) or made[-1][1])
+    monkeypatch.setattr(repeats, "HOT_NAMES", 2)
+    passage = prose(200, 51)[:390]
+    around = lambda i: random.Random(i).choice("stu") * (i % 4 * 6)
+    more = [(100 + i, prose(20, 600 + i) + around(i) + passage + around(i + 1) + prose(20, 700 + i), "o", "s") for i in range(24)]
+    every = [*rows, *more, more[3]]
+    expected = sorted((r[0], *x[1:]) for r, x in zip(every, brute.kept_bytes([r[1] for r in every], 400)))
+    found = repeats.without_repeats(spark.createDataFrame(every, DOCS).repartition(3)).collect()
+    assert sorted((r.doc_id, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == expected
+    sizes = {label: frame.count() for label, frame in made if label.startswith("hot-")}
+    assert sizes["hot-names"] > 0 and sizes["hot-matches"] > 0
+
+
 def test_interleave_refinement():
     """Blocks of the merge are the groups of equal symbol strings."""
     rng = np.random.default_rng(1)
