@@ -1,4 +1,4 @@
-"""Removal of repeated strings by merging the Burrows-Wheeler transforms of shards.
+"""Removal of repeated strings by grouping sampled suffixes and their Burrows-Wheeler symbols across shards.
 
 Suffixes are sampled, since only strings of ``span`` bytes matter. Sampled positions (anchors) are minima of a rolling
 hash over ``REACH`` neighbouring positions: two equal strings of ``span`` bytes always share an anchor among their first
@@ -9,10 +9,10 @@ before it, its entry in the Burrows-Wheeler transform.
 
 1. Shard: a task sorts the sampled suffixes of its texts and writes them in that order with their left symbols, equal
    rows collapsed.
-2. Merge: slices of all shards that begin with the same symbols meet in a task. The interleave starts as shard after
-   shard and is refined symbol by symbol: rows move only inside their block, a block of one row is finished and looked
-   at no more, and the depth at which two rows part is their common prefix. Blocks that stay together through the core
-   are the repeated intervals; the left symbols tell which of them are repeated as a whole.
+2. Merge: slices of all shards that begin with the same symbols meet in a task. The shuffle keeps no order of rows, so the
+   interleave is a sort again, symbol by symbol: rows move only inside their block, and a block of one row is finished and
+   looked at no more. Blocks that stay together through the core are the repeated intervals; the left symbols tell which
+   of them are repeated as a whole.
 3. Edges: a repeated core whose surroundings differ is the edge of a repeat. Its surroundings are compared byte by byte
    in bands of offsets, under the hash of all that a band has in common. A name of more than ``HOT_NAMES`` rows is not
    held in a task: its members are counted by offset and surrounding bytes instead.
