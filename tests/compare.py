@@ -11,6 +11,8 @@ import duckdb
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
+#: The smallest data set, on which the tests run.
+SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import differences, duck
-from conftest import SF_DIR
+from compare import SF_DIR
 from daypanel.catalog.checks import CHECKS
 from daypanel.catalog.queries import QUERIES, last_fold_model
 

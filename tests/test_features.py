@@ -73,7 +73,7 @@ def test_long_form_keeps_missing_predictions(spark):
 
 
 def test_client_filter_reaches_the_scan(spark):
-    from conftest import SF_DIR
+    from compare import SF_DIR
     from daypanel.sources.panels import long_readings
 
     df = views.client_series(long_readings(spark, SF_DIR), 7)

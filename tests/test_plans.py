@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR
+from compare import SF_DIR
 from daypanel.operators.calendar_table import calendar_table, distinct_days
 from daypanel.operators.folds import assign_folds, fold_bounds, fold_plan_of
 from daypanel.operators.gaps import impute_climate
