@@ -17,7 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 URL_RULES = [
     path_templates.Rule("org/", True),
     path_templates.Rule("example.org/es/", False),
-    path_templates.Rule("example.org/en/1", True),
+    path_templates.Rule("example.org/en/1", False),
     path_templates.Rule("com/fr/", True),
     path_templates.Rule("com/de/", False),
 ]

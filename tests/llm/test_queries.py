@@ -32,7 +32,7 @@ def test_pipeline(spark):
     told = stages["language"](spark, docs, SF_DIR).cache()
     assert told.columns == docs.columns and told.count() >= 0.97 * docs.count()
     single = stages["near_duplicates"](spark, told, SF_DIR).cache()
-    groups = brute.near_components([(r.doc_id, r.text) for r in told.select("doc_id", "text").collect()])
+    groups = brute.near_components([(r.doc_id, r.text) for r in told.select("doc_id", "text").collect()], percent=80)
     assert sorted(r.doc_id for r in single.collect()) == sorted(set(groups.values()))
     clean = stages["decontaminate"](spark, single, SF_DIR).cache()
     wanted = sorted(r.doc_id for r in single.collect() if not brute.contaminated(r.text, items)[-1])
