@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypanel.llm import (
-    archives, decontamination, importance, language_id, mixing, packing, path_templates, repeats, rule_votes, set_join,
+    archives, chunk_recipes, decontamination, importance, language_id, mixing, packing, path_templates, repeats, rule_votes,
+    set_join, token_alignment, turn_trie,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,10 +92,27 @@ def op10_rule_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("posterior", F.round("posterior", 9))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document."""
+    return token_alignment.alignment(_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    found = turn_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+    return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among all documents; of equal texts, the row of the largest id stays."""
+    found = chunk_recipes.exact_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_repeats, op2_warc, op3_url_filter, op4_packing, op5_decontamination, op6_language_id, op7_importance, op8_mixing,
-        op9_near_duplicates, op10_rule_votes,
+        op9_near_duplicates, op10_rule_votes, op11_alignment, op12_prefix_trie, op13_exact_duplicates,
     )
 }

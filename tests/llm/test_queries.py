@@ -14,7 +14,7 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", ["op2_warc", "op5_decontamination"])
+@pytest.mark.parametrize("name", ["op2_warc", "op5_decontamination", "op12_prefix_trie", "op13_exact_duplicates"])
 def test_query_against_sql(spark, connection, name):
     from daypanel.llm.checks import CHECKS
     from daypanel.llm.queries import QUERIES
