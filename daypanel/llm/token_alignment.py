@@ -505,7 +505,9 @@ def alignment(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PIECE
     rows = aligned(docs, byte_level, pieces, chunk)
     fragments = rows.where(F.col("kind") == FRAGMENT)
     failed = fragments.where("not ok").select("uid")
-    texts = rows.where(F.col("kind").isin(DOCUMENT, PIECE)).join(failed, "uid", "left_anti")
+    # rows of short texts have no uid and take no part in the join
+    parts = rows.where(F.col("kind") == PIECE).join(failed, "uid", "left_anti")
+    texts = rows.where(F.col("kind") == DOCUMENT).unionByName(parts)
     counts = materialised(pair_counts(texts.unionByName(rows.where(F.col("kind") == PAIRS)), tokenizers(byte_level, pieces).b_size), "pair-values")
     asked = rows.where(F.col("kind") == PAIRS).select(F.col("block").alias("of"), F.explode("keys").alias("key"))
     known = asked.join(counts, "key").select("of", "key", "n", F.col("top").cast("long").alias("top"))
