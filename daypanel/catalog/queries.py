@@ -19,7 +19,7 @@ from daypanel.operators.folds import (
 )
 from daypanel.operators.naive import lag_forecast, pooled_scale, pooled_scale_by_fold, pooled_steps, series_scale
 from daypanel.plans import features, runlog
-from daypanel.plans.forecaster import ALL_FEATURES, CATEGORIES, LEAK_FREE_FEATURES, Forecaster, Settings, fit, prepare
+from daypanel.plans.forecaster import ALL_FEATURES, CATEGORIES, LEAK_FREE_FEATURES, Forecaster, Settings, fit, fit_plan, vectors_for
 from daypanel.sources import panels, tables
 from daypanel.sources.scratch import materialised, new_path
 
@@ -580,9 +580,9 @@ def last_fold_model(spark, sf_dir) -> tuple[Forecaster, DataFrame]:
 def feature_vector(spark, sf_dir):
     """Every element of the assembled vectors, clients represented by their mean target."""
     rows = short_global(spark, sf_dir)
-    prepared = prepare(rows, Settings(features=tuple(ALL_FEATURES)))
+    prepared = vectors_for(rows, Settings(features=tuple(ALL_FEATURES)))
     elements = F.posexplode(vector_to_array("features")).alias("position", "value")
-    return out(prepared.vectors(rows).select("client_id", "date", elements), "value").withColumn(
+    return out(prepared.of(rows).select("client_id", "date", elements), "value").withColumn(
         "position", F.col("position").cast("bigint")
     )
 
@@ -635,12 +635,9 @@ def model_roundtrip(spark, sf_dir):
 def fold_metrics_gbt(spark, sf_dir):
     """Five metrics of a model per fold."""
     plan, rows, day = long_plan(spark, sf_dir), model_panel(spark, sf_dir), F.col("date")
-
-    def one_fold(fold):
+    parts = []
+    for fold, model in zip(plan.folds, fit_plan(rows, plan)):
         held = rows.where((day >= F.lit(fold.train_end)) & (day < F.lit(fold.val_end)))
-        model = fit(rows.where(day < F.lit(fold.train_end)), held)
-        return model.score(held).select(F.lit(fold.fold).cast("bigint").alias("fold"), "total_consumption", "prediction")
-
-    with ThreadPoolExecutor(4) as pool:
-        scored = reduce(DataFrame.unionByName, pool.map(one_fold, plan.folds))
+        parts.append(model.score(held).select(F.lit(fold.fold).cast("bigint").alias("fold"), "total_consumption", "prediction"))
+    scored = reduce(DataFrame.unionByName, parts)
     return scores.fold_errors(scored, pooled_scale_by_fold(pooled_steps(rows), plan))

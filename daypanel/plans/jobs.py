@@ -20,7 +20,7 @@ from daypanel.operators.scores import METRICS, client_errors, evaluation_row, fo
 from daypanel.operators.views import fill_numeric, role_series
 from daypanel.plans import runlog
 from daypanel.plans.features import feature_table, global_table
-from daypanel.plans.forecaster import CLIENT, PREDICTION, TARGET, Forecaster, Settings, fit, with_targets
+from daypanel.plans.forecaster import CLIENT, PREDICTION, TARGET, Forecaster, Settings, fit, fit_plan, with_targets
 from daypanel.sources.scratch import materialised
 from daypanel.sources.tables import (
     CLIENT_SCHEMA, CLIMATE_SCHEMA, READING_SCHEMA, read_csv, read_panel, read_split, write_panel, write_splits,
@@ -149,7 +149,7 @@ def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Trainin
     panel = with_targets(read_panel(spark, f"{out}/global"), settings)
     plan, bounds = usable_folds(panel, fold_plan_of(panel, sizes.initial_train, sizes.validation, sizes.test))
 
-    def one_fold(fold: Fold) -> tuple[Forecaster, DataFrame]:
+    for fold in plan.folds:
         run = runs[fold.fold] = runlog.Run(parent.experiment, f"Fold_{fold.fold}", parent.run_id)
         trained, held = bounds[fold.fold, "train"], bounds[fold.fold, "validation"]
         run.note(
@@ -160,18 +160,21 @@ def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Trainin
             fold_val_start_date=held["first_day"],
             fold_val_end_date=held["last_day"],
         )
-        validation = with_targets(read_panel(spark, f"{out}/global", fold.train_end, fold.val_end), settings)
-        model = fit(read_panel(spark, f"{out}/global", before=fold.train_end), validation, settings)
+    models = fit_plan(read_panel(spark, f"{out}/global", before=plan.folds[-1].val_end), plan, settings)
+
+    def stored_and_scored(fold: Fold, model: Forecaster) -> tuple[Forecaster, DataFrame]:
+        run = runs[fold.fold]
         model.save(model_path(out, parent.run_id, run.name.lower()))
         run.close(runlog.FINISHED)
+        validation = with_targets(read_panel(spark, f"{out}/global", fold.train_end, fold.val_end), settings)
         return model, model.score(validation).select(F.lit(fold.fold).alias("fold"), TARGET, PREDICTION)
 
     with ThreadPoolExecutor(parallel_folds) as pool:
-        fitted = list(pool.map(one_fold, plan.folds))
+        fitted = list(pool.map(stored_and_scored, plan.folds, models))
 
     model, kept = fitted[-1][0], f"fold_{plan.folds[-1].fold}"
     if settings.refit_on_all:
-        rounds = replace(settings, rounds=model.trees.getNumTrees)
+        rounds = replace(settings, rounds=model.trees.rounds)
         model, kept = fit(read_panel(spark, f"{out}/global", before=plan.test_start), None, rounds), "refit"
         model.save(model_path(out, parent.run_id, kept))
     parent.note(final_model=kept)

@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from daypanel.operators.folds import WindowSizeError
-from daypanel.plans import jobs, runlog
+from daypanel.plans import boosting, jobs, runlog
 from daypanel.plans.features import FEATURE_COLUMNS, GLOBAL_COLUMNS
-from daypanel.plans.forecaster import ALL_FEATURES, LEAK_FREE_FEATURES, Forecaster, Settings, best_round, fit, prepare
+from daypanel.plans.forecaster import ALL_FEATURES, LEAK_FREE_FEATURES, Forecaster, Settings, fit
 from daypanel.sources import tables
 
 FIRST, DAYS = date(2023, 1, 1), 181
@@ -133,9 +133,9 @@ def test_a_failed_run_is_recorded_as_failed(spark, built):
     assert jobs.load_latest(spark, out, "too long") is None
 
 
-def test_all_features_and_client_means(spark, built, tmp_path):
+def test_all_features_and_new_clients(spark, built, tmp_path):
     table = built[1]
-    by_mean = fit(table, None, Settings(features=tuple(ALL_FEATURES), clients="mean", rounds=2, max_depth=2))
+    by_mean = fit(table, None, Settings(features=tuple(ALL_FEATURES), rounds=2, max_depth=2))
     by_mean.save(str(tmp_path))
     again = Forecaster.load(spark, str(tmp_path))
     newcomer = table.where(F.col("client_id") == "C0000").withColumn("client_id", F.lit("new"))
@@ -154,24 +154,26 @@ def test_unseen_category_can_be_scored(built):
 
 def test_missing_input_column_is_named(built):
     with pytest.raises(ValueError, match="consumption_lag_7"):
-        prepare(built[1].drop("consumption_lag_7"))
+        fit(built[1].drop("consumption_lag_7"))
 
 
-@pytest.mark.parametrize("errors, patience, rounds", [
-    ([5, 4, 3, 2], 10, 4),
-    ([5, 4, 4.5, 3, 6, 6, 6], 10, 4),
-    ([5, 4, 4.5, 4.6, 3], 2, 2),
-    ([5, 6, 7], 1, 1),
+@pytest.mark.parametrize("errors, patience, rounds, stops", [
+    ([9, 5, 4, 3, 2], 10, 4, False),
+    ([9, 5, 4, 4.5, 3, 6, 6, 6], 3, 4, True),
+    ([9, 5, 4, 4.5, 4.6], 2, 2, True),
+    ([9, 5, 6], 1, 1, True),
+    ([1, 5], 3, 1, False),
 ])
-def test_patience(errors, patience, rounds):
-    assert best_round(errors, patience) == rounds
+def test_patience(errors, patience, rounds, stops):
+    """Errors after 0, 1, ... rounds; the start value alone is no model."""
+    assert (boosting.best_round(errors), boosting.stops(errors, patience)) == (rounds, stops)
 
 
-def test_early_stop_shortens_the_model(built):
-    """Validation rows without any relation to the features: more trees only hurt."""
+def test_early_stop_shortens_the_fit(built):
+    """Validation rows without any relation to the features: more trees only hurt, and are not fitted."""
     noise = built[1].withColumn("total_consumption", -F.col("total_consumption"))
-    model = fit(built[1], noise, Settings(rounds=4, max_depth=2, patience=1))
-    assert model.trees.getNumTrees < 4
+    model = fit(built[1], noise, Settings(rounds=30, max_depth=2, patience=2))
+    assert model.trees.rounds == 1 and len(model.trees.errors) - 1 <= 1 + 2
 
 
 def test_csv_header_must_match(spark, tmp_path):

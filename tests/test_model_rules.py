@@ -1,11 +1,13 @@
 """What may not depend on size, bad input or an empty log."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from daypanel.operators.scores import series_mase
 from daypanel.plans import jobs, runlog
-from daypanel.plans.forecaster import Settings, fit, first_trees, prepare
+from daypanel.plans.forecaster import Settings, fit, vectors_for
 from daypanel.sources import tables
 
 SMALL = Settings(features=("client_id", "x"), categories=("client_id",), rounds=3, max_depth=2, patience=None)
@@ -17,28 +19,16 @@ def panel(spark, clients):
     return rows.select(client.alias("client_id"), (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 11).cast("double").alias("total_consumption"))
 
 
-def test_clients_are_encoded_alike_at_every_number(spark):
-    kinds = [[type(s).__name__ for s in prepare(panel(spark, n), SMALL).preparation.stages] for n in (199, 201, 1000)]
-    assert kinds[0] == kinds[1] == kinds[2]
-    assert all(prepare(panel(spark, n), SMALL).client_means is not None for n in (199, 201))
-
-
-def test_many_clients_can_be_categories(spark):
-    settings = Settings(features=("client_id", "x"), categories=("client_id",), rounds=1, max_depth=2, clients="category")
-    assert fit(panel(spark, 300), None, settings).trees.getNumTrees == 1
+def test_client_means_of_vectors_are_a_table_at_every_number(spark):
+    kinds = [[type(s).__name__ for s in vectors_for(panel(spark, n), SMALL).preparation.stages] for n in (199, 1000)]
+    assert kinds[0] == kinds[1]
+    assert vectors_for(panel(spark, 201), SMALL).client_means is not None
 
 
-def test_a_cut_model_equals_a_shorter_fit(spark, tmp_path):
+def test_rounds_of_a_fit_are_a_prefix_of_a_longer_one(spark):
     rows = panel(spark, 20)
-    long = fit(rows, None, SMALL)
-    short = fit(rows, None, Settings(features=SMALL.features, categories=SMALL.categories, rounds=2, max_depth=2, patience=None))
-    cut = first_trees(long.trees, 2)
-    assert cut.getNumTrees == 2 and cut.numFeatures == long.trees.numFeatures
-    vectors = long.vectors(rows)
-    same = lambda model: sorted(r["prediction"] for r in model.transform(vectors).collect())
-    assert same(cut) == pytest.approx(same(short.trees))
-    cut.save(str(tmp_path / "cut"))
-    assert type(cut).load(str(tmp_path / "cut")).getNumTrees == 2
+    long, short = (fit(rows, None, replace(SMALL, rounds=n)).trees for n in (4, 2))
+    assert len(long.trees) == 4 and [t.splits for t in long.trees[:2]] == [t.splits for t in short.trees]
 
 
 def test_a_malformed_row_is_an_error(spark, tmp_path):
