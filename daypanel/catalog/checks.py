@@ -189,12 +189,37 @@ UNION ALL SELECT DISTINCT 'day_of_week_name', CAST(day_of_week_name AS VARCHAR),
        DENSE_RANK() OVER (ORDER BY day_of_week_name) - 1 FROM globals
 UNION ALL SELECT DISTINCT 'month', CAST(month AS VARCHAR), DENSE_RANK() OVER (ORDER BY month) - 1 FROM globals"""
 
+_COUNTED = " UNION ALL ".join(
+    f"SELECT '{name}' AS variable, CAST({name} AS VARCHAR) AS value, COUNT(*) AS n, SUM(mean - y0) AS g FROM known GROUP BY {name}"
+    for name in ("client_id", "tipo_feriado", "day_of_week_name", "month")
+)
+_KNOWN = f"{GLOBAL}, known AS (SELECT *, COALESCE(total_consumption, 0) AS y0, AVG(COALESCE(total_consumption, 0)) OVER () AS mean FROM globals)"
+CHECKS["category_bins"] = f"""
+WITH {_KNOWN}, counted AS ({_COUNTED})
+SELECT variable, value, ROW_NUMBER() OVER (PARTITION BY variable ORDER BY n DESC, value NULLS FIRST) AS bin FROM counted"""
+CHECKS["root_splits"] = f"""
+WITH {_KNOWN}, counted AS ({_COUNTED}),
+cells AS (
+  SELECT variable, value, n, g, n >= 10 AS usable, g / (n + 10) AS place, 10 AS l2 FROM counted
+  UNION ALL
+  SELECT 'day_counter', CAST(day_counter AS VARCHAR), COUNT(*), SUM(mean - y0), TRUE, day_counter, 0 FROM known GROUP BY day_counter),
+ranked AS (
+  SELECT variable, usable, l2, SUM(g) OVER w AS gl, SUM(n) OVER w AS nl, SUM(g) OVER (PARTITION BY variable) AS ga, SUM(n) OVER (PARTITION BY variable) AS na
+  FROM cells WINDOW w AS (PARTITION BY variable ORDER BY NOT usable, place, value ROWS UNBOUNDED PRECEDING)),
+told AS (
+  SELECT variable, nl, na - nl AS nr, gl * gl / (nl + l2) + (ga - gl) * (ga - gl) / (na - nl + l2) - ga * ga / (na + l2) AS gain
+  FROM ranked WHERE usable AND nl >= 20 AND na - nl >= 20)
+SELECT variable, ROUND(MAX(gain) / (SELECT SUM((y0 - mean) * (y0 - mean)) FROM known), 6) AS gain_share,
+  CAST(ARG_MAX(nl, gain) AS BIGINT) AS left_rows, CAST(ARG_MAX(nr, gain) AS BIGINT) AS right_rows
+FROM told GROUP BY variable HAVING MAX(gain) > 1e-12"""
+
 CHECKS["latest_run"] = f"""
 WITH {RUNS} SELECT run_id, name, start_dt, seq FROM runs WHERE name = '5-LOW' ORDER BY start_dt DESC, seq DESC LIMIT 1"""
-CHECKS["run_children"] = f"""
-WITH {RUNS} SELECT c.run_id, c.parent_run_id, p.name AS parent_name, c.name,
-  CAST(REPLACE(c.name, 'Fold_', '') AS INTEGER) AS fold, c.start_dt
-FROM runs c JOIN runs p ON c.parent_run_id = p.run_id"""
+CHECKS["run_children"] = """
+SELECT CONCAT('r', l_orderkey, '_', l_linenumber) AS run_id, CONCAT('r', l_orderkey) AS parent_run_id, o_orderpriority AS parent_name,
+  CONCAT('Fold_', l_linenumber) AS name, CAST(l_linenumber AS INTEGER) AS fold, start_dt
+FROM (SELECT l_orderkey, l_linenumber, CAST(MIN(l_shipdate) AS DATE) AS start_dt FROM lineitem GROUP BY l_orderkey, l_linenumber) AS lines
+JOIN orders ON o_orderkey = l_orderkey"""
 CHECKS["newest_child_run"] = f"""
 WITH {RUNS}, placed AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY parent_run_id ORDER BY start_dt DESC, run_id DESC) AS place

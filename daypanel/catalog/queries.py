@@ -18,7 +18,7 @@ from daypanel.operators.folds import (
     FoldPlan, assign_folds, fold_bounds, fold_counts, fold_plan_of, holdout, plan_table,
 )
 from daypanel.operators.naive import lag_forecast, pooled_scale, pooled_scale_by_fold, pooled_steps, series_scale
-from daypanel.plans import features, runlog
+from daypanel.plans import boosting, features, runlog
 from daypanel.plans.forecaster import ALL_FEATURES, CATEGORIES, LEAK_FREE_FEATURES, Forecaster, Settings, fit, fit_plan, vectors_for
 from daypanel.sources import panels, tables
 from daypanel.sources.scratch import materialised, new_path
@@ -497,6 +497,30 @@ def category_index(spark, sf_dir):
     return indexed
 
 
+@register
+def category_bins(spark, sf_dir):
+    """The bins that the trees use for categories: most frequent labels first."""
+    rows = materialised(short_global(spark, sf_dir).select(CATEGORIES), "categories")
+    learned = boosting.learn_bins(rows, CATEGORIES, CATEGORIES)
+    found = [(f.name, label, i + 1) for f in learned for i, label in enumerate(f.labels)]
+    return spark.createDataFrame(found, "variable string, value string, bin bigint")
+
+
+@register
+def root_splits(spark, sf_dir):
+    """The best split of each feature at the root of the first tree, its gain as a share of the target's variance."""
+    rows = materialised(short_global(spark, sf_dir).select(*CATEGORIES, "day_counter", "total_consumption"), "split-rows")
+    rows = rows.na.fill(0, subset=["total_consumption"])
+    learned = boosting.learn_bins(rows, [*CATEGORIES, "day_counter"], CATEGORIES)
+    squares = rows.agg(F.sum("total_consumption"), F.sum(F.col("total_consumption") ** 2), F.count("*")).first()
+    spread = squares[1] - squares[0] ** 2 / squares[2]
+    found = [
+        (name, round(split.gain / spread, 6), split.left_rows, split.right_rows)
+        for name, split in boosting.root_splits(rows, learned, "total_consumption") if split
+    ]
+    return spark.createDataFrame(found, "variable string, gain_share double, left_rows bigint, right_rows bigint")
+
+
 # Run log
 
 
