@@ -6,14 +6,18 @@ class to a child named by the value it has there, so that similar sets meet agai
 
 * A small node is closed: its classes are compared in pairs by size and sketch.
 * A large node in which many classes look like the smallest one (the pivot) is dense; branching would not thin it, so it
-  is closed as a whole.
-* Any other node branches again; after ``LEVELS`` levels it is closed.
+  is closed, too. So is what is still large after ``LEVELS`` levels.
+* Any other node branches again.
 
-Classes that met in a closed node form coarse groups, and all comparisons that are left happen inside these, exhaustively
-and on the full sets. A group of many tokens or classes is cut into blocks by hash, and every pair of blocks is a task of
-bounded size. A task returns a spanning forest of its links, so a group of n copies gives n rows and not n*n, and no link
-between components is lost. A pair at the threshold is missed by one tree with probability ``q``, the solution of
-``q = (1 - s + s*q)**draws``; the number of trees follows from the target recall.
+A large node that is closed compares the sketches of its classes within tasks: it is cut into blocks by hash, every pair of
+blocks is a task, and a task returns a spanning forest of the pairs that may reach the threshold. Only such pairs make
+coarse groups; to share a node, as all documents with a common passage do, is not enough. Links are then found
+inside the groups on full sets, again by blocks and forests. A group of n copies gives n rows and not n*n, and no link between
+components is lost.
+
+A pair of similarity s agrees in m of ``TOKENS`` coordinates, m being binomial. One tree misses it with probability ``q``
+where ``q = (1 - p + p*q)**DRAWS`` and ``p = m / TOKENS``; the number of trees follows from the mean over m, with pairs below the
+sketch limit counted as missed.
 
 Everything is keyed by class, so exact copies cost one row each. No row leaves a join or an aggregate for the driver.
 """
@@ -44,17 +48,33 @@ DENSE = 0.25
 BLOCK_TOKENS = 1_500_000
 #: Classes of a block: short texts meet in many classes of few tokens, and a task holds a matrix of classes.
 BLOCK_CLASSES = 2_000
+#: Sketches of a block.
+BLOCK_SKETCHES = 4_096
 #: Columns of the token matrix that are multiplied at once.
 COLUMNS = 2048
 SKETCH_SCHEMA = "doc_id long, n_shingles long, class_key long, sketch array<int>"
 
 
-def trees_for(similarity: float, recall: float, draws: int = DRAWS) -> int:
+def missed(similarity: float, trees: int, draws: int = DRAWS, tokens: int = TOKENS) -> float:
+    """Probability that a pair of this similarity meets in no tree or fails the sketch limit of the same threshold."""
+    total, least = 0.0, least_matches(similarity)
+    for m in range(tokens + 1):
+        chance = math.comb(tokens, m) * similarity**m * (1 - similarity) ** (tokens - m)
+        q = 0.0
+        for _ in range(200):
+            q = (1 - m / tokens + m / tokens * q) ** draws
+        total += chance * (q**trees if m >= least else 1.0)
+    return total
+
+
+def trees_for(similarity: float, recall: float) -> int:
     """Trees needed so that a pair at the threshold is found with the wanted probability."""
-    q = 0.0
-    for _ in range(200):
-        q = (1 - similarity + similarity * q) ** draws
-    return max(1, math.ceil(math.log(1 - recall) / math.log(q)))
+    trees = 1
+    while missed(similarity, trees) > 1 - recall:
+        trees += 1
+        if trees > 1000:
+            raise ValueError(f"no number of trees reaches a recall of {recall} with {TOKENS} tokens")
+    return trees
 
 
 def least_matches(similarity: float) -> int:
@@ -123,7 +143,9 @@ def _set_builder(k: int):
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """Full sets of the classes in ``wanted`` (key, doc_id), as sorted 64-bit hashes."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.join(wanted, "doc_id").select("doc_id", "text", "key").mapInArrow(_set_builder(k), "key long, tokens binary")
+    # both sides move at every size: a join that is a broadcast on small inputs only would hide what it costs on large ones
+    found = texts.join(wanted.hint("merge"), "doc_id")
+    return found.select("doc_id", "text", "key").mapInArrow(_set_builder(k), "key long, tokens binary")
 
 
 def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -188,19 +210,73 @@ def _comparer(percent: int):
     return run
 
 
+def _block_pairs(rows: DataFrame, group: str, blocks: Column, *columns: str) -> DataFrame:
+    """Rows dealt to tasks: a group of ``blocks`` blocks gives a task for each pair of them, named ``task``."""
+    sizes = rows.groupBy(group).agg(blocks.alias("blocks"))
+    block = F.pmod(F.xxhash64("key"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = rows.join(sizes, group).select("key", group, *columns, block.alias("own"), other)
+    pair = F.struct(group, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return dealt.select(F.xxhash64(pair).alias("task"), "key", *columns)
+
+
 def links_within(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that span the components of each coarse group. ``groups`` has (key, label, n)."""
     blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_TOKENS), F.ceil(F.count("*") / BLOCK_CLASSES))
-    sizes = groups.groupBy("label").agg(blocks.alias("blocks"))
-    block = F.pmod(F.xxhash64("key"), F.col("blocks"))
-    # block i meets every block j: the task is named by the ordered pair
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = groups.join(sizes, "label").select("key", "label", block.alias("own"), other)
-    dealt = dealt.select("key", F.struct("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("pair"))
-    tasks = dealt.join(sets, "key").select(F.xxhash64("pair").alias("task"), "key", "tokens")
+    tasks = _block_pairs(groups, "label", blocks).join(sets, "key").select("task", "key", "tokens")
     return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_comparer(percent), "a long, b long")
 
 
+def _sketch_comparer(percent: int):
+    least = least_matches(percent / 100)
+
+    def links(keys: list[int], sizes: list[int], sketches: list[np.ndarray]) -> pa.RecordBatch:
+        sizes, matrix = np.asarray(sizes, np.float64), np.concatenate(sketches).reshape(len(keys), TOKENS)
+        left, found = np.ones(len(keys), bool), []
+        for root in range(len(keys) if len(keys) > 1 else 0):
+            if not left[root]:
+                continue
+            left[root] = False
+            front = [root]
+            while front:  # rows are compared with those that no tree holds yet
+                at = front.pop()
+                rest = np.flatnonzero(left)
+                small, large = np.minimum(sizes[rest], sizes[at]), np.maximum(sizes[rest], sizes[at])
+                rest = rest[100 * small >= percent * large]
+                reached = rest[(matrix[rest] == matrix[at]).sum(1) >= least]
+                left[reached] = False
+                found += [(at, int(x)) for x in reached]
+                front += reached.tolist()
+        pairs = [pa.array([keys[x[i]] for x in found], pa.int64()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(pairs, ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, keys, sizes, sketches = None, [], [], []
+        for batch in batches:
+            tasks = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(tasks[1:] != tasks[:-1]) + 1).tolist(), len(tasks)] if len(tasks) else [0]
+            for low, high in zip(edges, edges[1:]):
+                if tasks[low] != group:
+                    if keys:
+                        yield links(keys, sizes, sketches)
+                    group, keys, sizes, sketches = tasks[low], [], [], []
+                part = batch.slice(low, high - low)
+                keys += part.column(1).to_pylist()
+                sizes += part.column(2).to_pylist()
+                sketches.append(part.column(3).flatten().to_numpy())
+        if keys:
+            yield links(keys, sizes, sketches)
+
+    return run
+
+
+def close(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of the classes in each of ``nodes`` (node, key) that span what sizes and sketches may link."""
+    rows = nodes.join(classes.select("key", "n", "sketch"), "key").select("node", "key", "n", "sketch")
+    tasks = _block_pairs(rows, "node", F.ceil(F.count("*") / BLOCK_SKETCHES), "n", "sketch")
+    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_sketch_comparer(percent), "a long, b long")
+
+
 def similar_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Of distinct pairs (a, b), those whose sizes and sketches allow the threshold."""
     side = lambda c: classes.select(
@@ -223,19 +299,16 @@ def _branched(rows: DataFrame) -> DataFrame:
     return rows.select("key", F.explode(_children(F.col("node"), F.col("sketch"))).alias("node"))
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
-    """Edges (a, b) of the same components: each b with its smallest a, and the other a with that one.
-
-    A class that lies under many pivots then brings one edge, and pivots are few.
-    """
-    edges = materialised(edges.distinct(), "edges")
-    least = edges.groupBy("b").agg(F.min("a").alias("low"))
-    pivots = edges.join(least, "b").where("a != low").select(F.col("low").alias("a"), F.col("a").alias("b"))
-    return least.select(F.col("low").alias("a"), "b").unionByName(pivots)
+def _distinct_nodes(nodes: DataFrame) -> DataFrame:
+    """Of nodes with the same classes, one: large groups of near copies meet in many nodes."""
+    named = materialised(nodes, "dense")
+    contents = named.groupBy("node").agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64(F.lit(i), "key")).alias(f"x{i}") for i in (0, 1)])
+    first = contents.groupBy("n", "x0", "x1").agg(F.min("node").alias("node"))
+    return named.join(first.select("node"), "node", "left_semi")
 
 
 def meetings(classes: DataFrame, percent: int, trees: int) -> DataFrame:
-    """Pairs (a, b): similar sketches from small nodes, and every class of a node closed as a whole with its pivot."""
+    """Pairs (a, b) of similar sketches: all of small nodes, spanning ones of large nodes that are closed."""
     roots = F.explode(F.array(*[F.lit(t).cast("long") for t in range(trees)])).alias("node")
     level = _branched(classes.select("key", "sketch", roots))
     found = []
@@ -251,14 +324,15 @@ def meetings(classes: DataFrame, percent: int, trees: int) -> DataFrame:
         if large.isEmpty():
             break
         if depth == LEVELS - 1:
-            found.append(_contracted(large.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))))
+            found.append(materialised(close(large.select("node", "key"), classes, percent).distinct(), "closed"))
             break
         star = large.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
         alike = similar_sketches(star, classes, percent).select(F.col("a").alias("pivot"), F.col("b").alias("key"), F.lit(1).alias("alike"))
         judged = materialised(large.join(alike, ["pivot", "key"], "left"), f"judged-{depth}")
         dense = (F.sum(F.coalesce("alike", F.lit(0))) >= DENSE * (F.max("size") - 1)).alias("dense")
         judged = judged.join(judged.groupBy("node").agg(dense), "node")
-        found.append(_contracted(judged.where("dense and key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))))
+        dense_nodes = _distinct_nodes(judged.where("dense").select("node", "key"))
+        found.append(materialised(close(dense_nodes, classes, percent).distinct(), "closed"))
         level = _branched(judged.where("not dense").select("node", "key").join(classes.select("key", "sketch"), "key"))
     return reduce(DataFrame.unionByName, found)
 
@@ -281,7 +355,7 @@ def components(links: DataFrame) -> DataFrame:
         labels = moved.select("key", "label")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85, recall: float = 0.999999) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85, recall: float = 0.99999) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text; others are ignored).
 
     Null or empty texts have no shingles and stay alone. Rows with a null doc_id are neither linked nor named: their
@@ -311,7 +385,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85, recall: floa
 
 
 def first_of_each_group(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that stand for their group, columns unchanged; of rows with one doc_id, one stays."""
-    keep = near_duplicates(docs, **settings).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """The rows of ``docs`` that stand for their group, columns unchanged: of each group, the row of the smallest doc_id.
+
+    Rows are told apart by id and text, so distinct texts under one id, or without one, are judged on their own. Null ids
+    come last; ties are broken by a hash of the text. Of rows that repeat id and text, one stays.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit("/"), text)
+    named = docs.select(row.alias("doc_id"), F.col("doc_id").cast("long").alias("id"), "text")
+    grouped = near_duplicates(named, **settings).select("doc_id", "component_id").distinct()
+    ranked = named.select("doc_id", "id").distinct().join(grouped, "doc_id")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "doc_id")
+    keep = ranked.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_row"))
+    # the id and another hash keep rows apart that share a 64-bit name
+    rows = docs.withColumns({"_row": row, "_id": F.col("doc_id").cast("string"), "_text": F.xxhash64(F.lit("/"), text)})
+    return rows.join(keep, "_row", "left_semi").dropDuplicates(["_row", "_id", "_text"]).select(*docs.columns)
