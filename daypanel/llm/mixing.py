@@ -1,6 +1,6 @@
 """Temperature mixing of sources, realised as budgeted block permutations.
 
-The weight of a source is its token share raised to an exponent and normalised. The exponent is bisected, many
+The weight of a source is its token share raised to an exponent and normalised. The exponent is searched on grids, many
 candidates in one pass: from 1 (the natural mix) down to 0 (equal weights) it stops where the mix first reaches the
 wanted entropy, and never passes the point where a source would be repeated more often than allowed.
 
@@ -64,6 +64,11 @@ def exponent(sources: DataFrame, target_entropy: float, max_repeats: float, budg
 
 def mixture(tokens: DataFrame, target_entropy: float, max_repeats: float, budget_share: float) -> DataFrame:
     """(source, tokens, docs, share, weight, epochs): how often the documents of a source are to be taken."""
+    if budget_share > max_repeats:
+        raise ValueError(
+            f"a budget of {budget_share} times all tokens can't be met with {max_repeats} repeats of each source: "
+            f"{budget_share - max_repeats} times all tokens are missing"
+        )
     sources = materialised(tokens.where("tokens > 0").groupBy("source").agg(
         F.sum(F.col("tokens") * F.col("copies")).alias("tokens"), F.sum("copies").alias("docs")), "sources")
     a = exponent(sources, target_entropy, max_repeats, budget_share)
@@ -82,7 +87,8 @@ def mixed(
 
     ``target_entropy`` is a share of the largest entropy; ``budget_share`` is the token budget over all tokens there
     are. Documents without tokens are in no mix. Rows that repeat a document and source share their draws (``copies``).
-    A tie in the permutation goes to the smaller id. An empty table gives an empty mix.
+    A tie in the permutation goes to the smaller id. An empty table gives an empty mix. A budget beyond ``max_repeats`` of
+    everything is an error that names the shortfall.
     """
     tokens = materialised(source_tokens(docs), "tokens")
     weights = materialised(mixture(tokens, target_entropy, max_repeats, budget_share), "mixture")

@@ -31,7 +31,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in strings of 400 bytes found at another place too."""
     found = repeats.without_repeats(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")]
+    return found.select(*columns, (F.col("n_removed") > 0).alias("has_repeats"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,7 +140,7 @@ def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 60, pseudo: flo
             b[1] = g[1] = (b[1] * (1 - mass / total) + g[1] * mass / total)
             bad.append(tuple(x / sum(b) for x in b))
             good.append(tuple(x / sum(g) for x in g))
-        now = Estimate(min(0.999, max(0.5, (mass + pseudo) / (total + 2 * pseudo))), tuple(bad), tuple(good))
+        now = Estimate((mass + pseudo) / (total + 2 * pseudo), tuple(bad), tuple(good))
     return now
 
 
