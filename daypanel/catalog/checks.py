@@ -59,6 +59,8 @@ GLOBAL_OF = (
 GLOBAL = f"{CLIMATE_PANEL}, {GLOBAL_OF}"
 CHECKS["global_table"] = f"WITH {GLOBAL} SELECT * FROM globals"
 CHECKS["global_table_long"] = f"WITH {LONG_CLIMATE_PANEL}, {GLOBAL_OF} SELECT * FROM globals"
+CHECKS["feature_table_stored_panel"] = f"""
+WITH {LONG_CLIMATE_PANEL}, {JOINED} SELECT dt, client_id, {features(*FEATURE_SQL)} FROM joined"""
 CHECKS["impute_climate_long"] = f"""
 WITH {LONG_CLIMATE_PANEL} SELECT dt, region, {r6('temperature')} AS temperature, humidity FROM clima"""
 NUMBERS = [name for name in FEATURE_SQL if name != "day_counter"]

@@ -21,6 +21,7 @@ from daypanel.operators.naive import lag_forecast, pooled_scale, pooled_scale_by
 from daypanel.plans import boosting, features, runlog
 from daypanel.plans.forecaster import ALL_FEATURES, CATEGORIES, LEAK_FREE_FEATURES, Forecaster, Settings, fit, fit_plan, vectors_for
 from daypanel.sources import panels, tables
+from daypanel.sources.clustered import read_clustered, write_clustered
 from daypanel.sources.scratch import materialised, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +247,16 @@ def global_table_long(spark, sf_dir):
     return out(features.global_table(rows, climate_calendar(climate)), *FEATURE_ROUNDED)
 
 
+@register
+def feature_table_stored_panel(spark, sf_dir):
+    """The features of seven years over readings that are stored by client, which need no shuffle any more."""
+    path = new_path(spark, "readings-by-client")
+    write_clustered(panels.long_readings(spark, sf_dir), path)
+    climate = materialised(gaps.impute_climate(panels.long_climate(spark, sf_dir)), "climate")
+    rows = features.feature_table(read_clustered(spark, path), panels.long_clients(spark, sf_dir), climate)
+    return out(rows, *FEATURE_ROUNDED)
+
+
 @register
 def null_fill(spark, sf_dir):
     return out(views.fill_numeric(short_global(spark, sf_dir)), *FEATURE_ROUNDED)

@@ -86,12 +86,16 @@ def write_panel(
 
 def read_panel(spark: SparkSession, path: str, since=None, before=None, date: str = "date") -> DataFrame:
     """Panel written by :func:`write_panel`, cut to ``since <= date < before``."""
-    df = spark.read.parquet(path)
+    return between(spark.read.parquet(path), since, before, date).drop(PERIOD_COLUMN)
+
+
+def between(df: DataFrame, since=None, before=None, date: str = "date") -> DataFrame:
+    """Rows with ``since <= date < before`` of a table that is stored by month; whole months are pruned."""
     if since is not None:
         df = df.where(F.col(PERIOD_COLUMN) >= f"{since:%Y-%m}").where(F.col(date) >= F.lit(since))
     if before is not None:
         df = df.where(F.col(PERIOD_COLUMN) <= f"{before:%Y-%m}").where(F.col(date) < F.lit(before))
-    return df.drop(PERIOD_COLUMN)
+    return df
 
 
 def write_splits(parts: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
