@@ -1,4 +1,11 @@
-"""The run log: runs, their parameters and their metrics as three append-only tables."""
+"""The run log: runs with their parameters and metrics, added by whole commits.
+
+A commit is a folder of its own with one row per run, which carries the run's parameters and metrics. Its
+rows are in one file, which the file system shows whole or not at all, so nobody sees half a run, and
+writers never share a folder. A run counts once by its id, however many commits hold it: that makes
+repeated commits harmless and lets :func:`compact` gather old commits in a new one while others read and
+write.
+"""
 
 from __future__ import annotations
 
@@ -12,12 +19,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daypanel.sources.scratch import remove
+
 RUNS = (
     "experiment string, run_id string, parent_run_id string, name string, start_ts timestamp, end_ts timestamp, "
     "status string"
 )
-PARAMS = "run_id string, key string, value string"
-METRICS = "run_id string, key string, value double, ts timestamp"
+_ROW = f"{RUNS}, params map<string, string>, metrics map<string, double>"
+_COMMIT, _GATHERED = "commit", "gathered"
 
 FINISHED, FAILED = "FINISHED", "FAILED"
 
@@ -51,15 +60,50 @@ class Run:
 
 
 def append(spark: SparkSession, path: str, runs: Sequence[Run]) -> None:
-    """Write finished runs with their parameters and metrics; three small appends in all.
+    """Commit finished runs with their parameters and metrics, all of them or none."""
+    rows = [
+        (r.experiment, r.run_id, r.parent_run_id, r.name, r.start_ts, r.end_ts, r.status, r.params, r.metrics) for r in runs
+    ]
+    spark.createDataFrame(rows, _ROW).coalesce(1).write.parquet(_folder(path, uuid.uuid4().hex))
+
+
+def _folder(path: str, commit: str) -> str:
+    return f"{path}/commits/{_COMMIT}={commit}"
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of every commit; without any commit yet it is empty."""
+    return _stored(spark, f"{path}/commits", f"{_ROW}, {_COMMIT} string")
+
+
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    """Every run once."""
+    return _commits(spark, path).drop(_COMMIT).dropDuplicates(["run_id"])
+
+
+def compact(spark: SparkSession, path: str, file_runs: int = 1_000_000) -> int:
+    """Gather all commits in a new one of few files and return how many it took the place of.
 
-    The ``runs`` table is written last: a run that can be found has its other rows in place.
+    It can run beside readers and writers and be stopped at any moment: the commits it gathers stay until
+    the next call, which removes those that the call before had finished gathering. So a reader has the
+    time between two calls to end, and commits that arrive meanwhile are left alone.
     """
-    params = [(r.run_id, key, value) for r in runs for key, value in r.params.items()]
-    metrics = [(r.run_id, key, value, r.end_ts) for r in runs for key, value in r.metrics.items()]
-    heads = [(r.experiment, r.run_id, r.parent_run_id, r.name, r.start_ts, r.end_ts, r.status) for r in runs]
-    for rows, schema, table in ((params, PARAMS, "run_params"), (metrics, METRICS, "run_metrics"), (heads, RUNS, "runs")):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/{table}")
+    covered = _stored(spark, f"{path}/{_GATHERED}", f"{_COMMIT} string, by string")
+    done = [row[_COMMIT] for row in covered.select(_COMMIT).distinct().toLocalIterator()]
+    for commit in done:
+        remove(spark, _folder(path, commit))
+    remove(spark, f"{path}/{_GATHERED}")
+
+    seen = [row[_COMMIT] for row in _commits(spark, path).select(_COMMIT).distinct().toLocalIterator()]
+    if len(seen) < 2:
+        return 0
+    gathered = _commits(spark, path).where(F.col(_COMMIT).isin(seen)).drop(_COMMIT).dropDuplicates(["run_id"])
+    new = uuid.uuid4().hex
+    gathered.coalesce(1).write.option("maxRecordsPerFile", file_runs).parquet(_folder(path, new))
+    # written last: only commits whose runs are all in the new one are ever removed
+    names = spark.createDataFrame([(commit, new) for commit in seen], f"{_COMMIT} string, by string")
+    names.coalesce(1).write.mode("overwrite").parquet(f"{path}/{_GATHERED}")
+    return len(seen)
 
 
 @contextmanager
@@ -76,8 +120,8 @@ def recorded(spark: SparkSession, path: str, run: Run) -> Iterator[Run]:
     append(spark, path, [run])
 
 
-def _logged(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table of the log; without any run yet it is empty."""
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table, or an empty one where nothing was written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -87,15 +131,15 @@ def _logged(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, path: str) -> DataFrame:
-    return _logged(spark, f"{path}/runs", RUNS)
+    return _rows(spark, path).drop("params", "metrics")
 
 
 def params(spark: SparkSession, path: str) -> DataFrame:
-    return _logged(spark, f"{path}/run_params", PARAMS)
+    return _rows(spark, path).select("run_id", F.explode("params"))
 
 
 def metrics(spark: SparkSession, path: str) -> DataFrame:
-    return _logged(spark, f"{path}/run_metrics", METRICS)
+    return _rows(spark, path).select("run_id", F.explode("metrics"), F.col("end_ts").alias("ts"))
 
 
 def latest(found: DataFrame, *newest_first: Column) -> DataFrame:
