@@ -12,6 +12,9 @@ CHECKS: dict[str, str] = {}
 READINGS_OF_CLIENTS = f"{SHORT_PANEL}, joined AS (SELECT dt, client_id, kwh AS y FROM consumo JOIN clientes USING (client_id))"
 
 CHECKS["csv_scan"] = f"WITH {SHORT_PANEL} SELECT client_id, dt, kwh AS consumption_kwh FROM consumo"
+CHECKS["csv_quarantine"] = f"""
+WITH {SHORT_PANEL} SELECT client_id, dt, CASE WHEN MOD(client_id, 10) <> 3 THEN kwh END AS consumption_kwh,
+  CASE WHEN MOD(client_id, 10) = 3 THEN 'consumption_kwh: ''n/a'' is no double' END AS reason FROM consumo"""
 CHECKS["parquet_sink_roundtrip"] = CHECKS["csv_scan"]
 CHECKS["split_sink_roundtrip"] = f"""
 WITH RECURSIVE {FOLD_PANEL}, last AS (SELECT * FROM folds ORDER BY fold DESC LIMIT 1)

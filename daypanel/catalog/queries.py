@@ -22,6 +22,7 @@ from daypanel.plans import boosting, features, runlog
 from daypanel.plans.forecaster import ALL_FEATURES, CATEGORIES, LEAK_FREE_FEATURES, Forecaster, Settings, fit, fit_plan, vectors_for
 from daypanel.sources import panels, tables
 from daypanel.sources.clustered import read_clustered, write_clustered
+from daypanel.sources.quarantine import read_csv_checked
 from daypanel.sources.scratch import materialised, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +108,22 @@ def csv_scan(spark, sf_dir):
     return out(tables.read_csv(spark, path, spark.createDataFrame([], schema).schema))
 
 
+@register
+def csv_quarantine(spark, sf_dir):
+    """Readings of which a tenth of the clients report no number: good rows, and bad ones with their reason."""
+    path, listed = new_path(spark, "spoilt-csv"), new_path(spark, "bad-rows")
+    spoilt = F.when(F.col("client_id") % 10 == 3, "n/a").otherwise(F.col("consumption_kwh").cast("string"))
+    tables.write_csv(panels.readings(spark, sf_dir).withColumn("consumption_kwh", spoilt), path)
+    schema = spark.createDataFrame([], "client_id bigint, date date, consumption_kwh double").schema
+    good = read_csv_checked(spark, path, schema, listed, max_bad_share=None)
+    cells = F.split("text", ",")
+    bad = spark.read.parquet(listed).select(
+        cells[0].cast("bigint").alias("client_id"), cells[1].cast("date").alias("date"),
+        cells[2].try_cast("double").alias("consumption_kwh"), "reason",
+    )
+    return out(good.unionByName(bad, allowMissingColumns=True))
+
+
 @register
 def parquet_sink_roundtrip(spark, sf_dir):
     path = new_path(spark, "readings-parquet")

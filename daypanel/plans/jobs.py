@@ -21,6 +21,7 @@ from daypanel.operators.views import fill_numeric, role_series
 from daypanel.plans import runlog
 from daypanel.plans.features import feature_table, global_table
 from daypanel.plans.forecaster import CLIENT, PREDICTION, TARGET, Forecaster, Settings, fit, fit_plan, with_targets
+from daypanel.sources.quarantine import read_csv_checked
 from daypanel.sources.scratch import materialised
 from daypanel.sources.tables import (
     CLIENT_SCHEMA, CLIMATE_SCHEMA, READING_SCHEMA, read_csv, read_panel, read_split, write_panel, write_splits,
@@ -52,13 +53,24 @@ class Training:
 
 
 def read_inputs(
-    spark: SparkSession, clients: str, climate: str, readings: str
+    spark: SparkSession,
+    clients: str,
+    climate: str,
+    readings: str,
+    quarantine: str | None = None,
+    max_bad_share: float | None = 0.01,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three raw CSV tables with their schemas."""
-    return (
-        read_csv(spark, clients, CLIENT_SCHEMA),
-        read_csv(spark, climate, CLIMATE_SCHEMA),
-        read_csv(spark, readings, READING_SCHEMA),
+    """The three raw CSV tables with their schemas.
+
+    A row that doesn't fit is an error. With ``quarantine`` it is listed below that folder instead, and only a
+    table with a larger share of such rows than ``max_bad_share`` is an error.
+    """
+    sources = {"clients": (clients, CLIENT_SCHEMA), "climate": (climate, CLIMATE_SCHEMA), "readings": (readings, READING_SCHEMA)}
+    if quarantine is None:
+        return tuple(read_csv(spark, path, schema) for path, schema in sources.values())
+    return tuple(
+        read_csv_checked(spark, path, schema, f"{quarantine}/{name}", max_bad_share)
+        for name, (path, schema) in sources.items()
     )
 
 
