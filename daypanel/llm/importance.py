@@ -2,7 +2,8 @@
 
 Two generative models over hashed word unigrams and bigrams are counted: one from target texts (a documented, bounded
 sample of labelled rows), one from all raw texts. The log importance weight of a document is the sum over its n-grams
-of log p_target - log p_raw. Documents are drawn without replacement by Gumbel top-k: weight plus Gumbel noise, the k
+of log p_target - log p_raw, where a ratio counts only by what exceeds its standard error at a one-sided level of 5 %: thousands
+of rare n-grams that say nothing then don't drown the few that do. Documents are drawn without replacement by Gumbel top-k: weight plus Gumbel noise, the k
 largest win. Noise comes from a hash of the id, so a lost task draws the same again. The k-th largest key is found by
 counting in ever finer ranges of keys; no rows are sorted or gathered.
 """
@@ -46,8 +47,16 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[0][at]), pa.array(counts[1][at])], ["bucket", "raw", "target"])
 
 
-def log_ratios(docs: DataFrame, target_ids: DataFrame, smoothing: float = 20.0) -> np.ndarray:
-    """log p_target - log p_raw of each bucket. ``target_ids`` (doc_id) has at most ``MAX_TARGET`` distinct rows."""
+def shrunk_ratios(target: np.ndarray, raw: np.ndarray, errors: float = 1.645) -> np.ndarray:
+    """log p_target - log p_raw of each bucket, drawn towards 0 by ``errors`` of its standard errors."""
+    # raw counts on the scale of the target's; half a count more on both sides
+    expected = raw * (target.sum() / max(raw.sum(), 1)) + 0.5
+    ratio = np.log((target + 0.5) / expected)
+    return np.sign(ratio) * np.maximum(0, np.abs(ratio) - errors * np.sqrt(1 / (target + 0.5) + 1 / expected))
+
+
+def log_ratios(docs: DataFrame, target_ids: DataFrame) -> np.ndarray:
+    """:func:`shrunk_ratios` of words and of pairs. ``target_ids`` (doc_id) has at most ``MAX_TARGET`` distinct rows."""
     marked = docs.select("doc_id", "text").join(F.broadcast(target_ids.select("doc_id", F.lit(True).alias("target"))), "doc_id", "left")
     rows = marked.select("text", F.coalesce("target", F.lit(False)).alias("target")).mapInArrow(_counter, "bucket int, raw long, target long")
     found = rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
@@ -55,9 +64,7 @@ def log_ratios(docs: DataFrame, target_ids: DataFrame, smoothing: float = 20.0)
     raw[found.bucket], target[found.bucket] = found.raw, found.target
     ratio = np.zeros(BUCKETS)
     for part in (slice(0, UNIGRAMS), slice(UNIGRAMS, BUCKETS)):
-        # raw counts on the scale of the target's, so that additive smoothing pulls rare buckets to a ratio of 1
-        expected = raw[part] * (target[part].sum() / max(raw[part].sum(), 1))
-        ratio[part] = np.log((target[part] + smoothing) / (expected + smoothing))
+        ratio[part] = shrunk_ratios(target[part], raw[part])
     return ratio.astype(np.float32) if target.sum() else np.zeros(BUCKETS, np.float32)
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+from collections import Counter
 import math
 import random
 
@@ -236,6 +237,50 @@ def test_importance(spark, none):
     assert all(r.kept for r in importance.resampled(docs, labels.limit(0)).collect())
 
 
+def test_importance_weights_equal_plain_counts(spark):
+    pick, words = random.Random(11), [f"w{i}" for i in range(12)]
+    texts = {i: " ".join(pick.choices(words[:6] if i % 3 else words, k=i % 50)) for i in range(300)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 7 == 0)) for i in range(0, 300, 2)], "doc_id long, quality int, toxic int")
+    good = {i for i in range(0, 300, 2) if i % 3 and i % 7}
+
+    def parts(text):
+        ws = text.split()
+        return ws, list(zip(ws, ws[1:]))
+
+    ratios = []
+    for k in (0, 1):
+        raw, target = Counter(), Counter()
+        for i, text in texts.items():
+            raw.update(parts(text)[k])
+            target.update(parts(text)[k] if i in good else ())
+        share = sum(target.values()) / sum(raw.values())
+        plain = {w: math.log((target[w] + 0.5) / (raw[w] * share + 0.5)) for w in raw}
+        error = {w: 1.645 * math.sqrt(1 / (target[w] + 0.5) + 1 / (raw[w] * share + 0.5)) for w in raw}
+        ratios.append({w: math.copysign(max(0, abs(v) - error[w]), v) for w, v in plain.items()})
+    found = {r.doc_id: r.log_weight for r in importance.resampled(docs, labels).collect()}
+    assert any(v for r in ratios for v in r.values())
+    for i, text in texts.items():
+        expected = sum(ratio[w] for ratio, part in zip(ratios, parts(text)) for w in part)
+        assert found[i] == pytest.approx(expected, abs=1e-4)
+
+
+def test_few_foul_words_in_long_texts_weigh_down(spark):
+    """Two words of five in texts of sixty: the draw prefers texts without them, labelled or not."""
+    foul = ["foul", "vile", "rotten", "nasty", "grim"]
+    texts = []
+    for i in range(2000):
+        ws = prose(60, i).split(" ")
+        if i % 10 == 0:
+            ws[7], ws[40] = foul[i // 10 % 5], foul[i // 50 % 5]
+        texts.append((i, " ".join(ws)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(0, 2000) if i % 20 < 10], "doc_id long, quality int, toxic int")
+    rows = importance.resampled(docs, labels).collect()
+    kept = {dirty: [r.kept for r in rows if (r.doc_id % 10 == 0) == dirty and r.doc_id % 20 >= 10] for dirty in (True, False)}
+    assert sum(kept[True]) <= 0.2 * len(kept[True]) and sum(kept[False]) >= 0.9 * len(kept[False])
+
+
 def test_gumbel_top_k_takes_the_largest_keys(spark):
     weights = spark.range(1000).selectExpr("id as doc_id", "cast(id % 10 as double) as log_weight")
     found = importance.gumbel_top_k(weights, 137).collect()
