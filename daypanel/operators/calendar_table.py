@@ -18,8 +18,8 @@ def mark_holidays(days: DataFrame, holidays: DataFrame | Iterable[str] = cal.BRA
     """Add ``is_feriado``. Holidays are a few literal dates or a table with a ``date`` column."""
     if not isinstance(holidays, DataFrame):
         return days.withColumn("is_feriado", F.col("date").isin([F.lit(text).cast("date") for text in holidays]))
-    # at most one row per calendar day, so the table is as short as the calendar itself
-    marks = F.broadcast(holidays.select("date").distinct().withColumn("_marked", F.lit(True)))
+    # no hint: the caller's table may be of any size, and the planner broadcasts it only if it is small
+    marks = holidays.select("date").distinct().withColumn("_marked", F.lit(True))
     return (
         days.join(marks, "date", "left")
         .withColumn("is_feriado", F.col("_marked").isNotNull())
