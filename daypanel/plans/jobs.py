@@ -15,7 +15,7 @@ from daypanel.operators.blocks import MAX_SERIES_ROWS, long_series
 from daypanel.operators.calendar_table import calendar_table, distinct_days
 from daypanel.operators.folds import Fold, FoldPlan, WindowSizeError, fold_plan_of, usable_folds
 from daypanel.operators.gaps import impute_climate
-from daypanel.operators.naive import pooled_scale, pooled_scale_by_fold, pooled_steps
+from daypanel.operators.naive import days_too_long, pooled_scale, pooled_scale_by_fold, pooled_steps
 from daypanel.operators.scores import METRICS, client_errors, evaluation_row, fold_errors
 from daypanel.operators.views import fill_numeric, role_series
 from daypanel.plans import runlog
@@ -192,7 +192,7 @@ def _train(spark, out, sizes, settings, parallel_folds, parent, runs) -> Trainin
     parent.note(final_model=kept)
 
     targets = panel.select("date", CLIENT, TARGET)
-    steps = pooled_steps(targets, long_keys=long_series(targets, CLIENT))
+    steps = pooled_steps(targets, long_days=days_too_long(targets))
     scored = reduce(DataFrame.unionByName, [predictions for _, predictions in fitted])
     table = fold_errors(scored, pooled_scale_by_fold(steps, plan)).collect()
     fold_metrics = {row["fold"]: {name: row[name] for name in METRICS} for row in table}
@@ -287,7 +287,7 @@ def evaluate(
         run.note(model_run_id=run_id, model=model)
         scored = read_panel(spark, f"{out}/predictions/{run_id}")
         trained = read_split(spark, splits_path(out, run_id), "train")
-        steps = pooled_steps(trained, long_keys=long_series(trained, CLIENT))
+        steps = pooled_steps(trained, long_days=days_too_long(trained))
         overall = materialised(evaluation_row(scored, pooled_scale(steps), model), "evaluation")
         run.measure({name: overall.first()[name] for name in METRICS})
     return overall, client_errors(scored, scored)
