@@ -50,12 +50,12 @@ def window_shingles(found: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 def shown(docs: DataFrame, wanted: DataFrame, widths: list[int]) -> DataFrame:
-    """(doc_id, text_hash, width, shingle, position) where a document shows a wanted shingle (width, shingle)."""
+    """(doc_id, text_hash, n_words, width, shingle, position) where a document shows a wanted shingle (width, shingle)."""
     out = []
     for width in widths:
         own = wanted.where(F.col("width") == width).select("shingle")
         own = F.broadcast(own) if own.count() <= MAX_BROADCAST else own
-        at = docs.select("doc_id", "text_hash", F.posexplode(shingle_hashes("words", width)).alias("position", "shingle"))
+        at = docs.select("doc_id", "text_hash", F.size("words").alias("n_words"), F.posexplode(shingle_hashes("words", width)).alias("position", "shingle"))
         out.append(at.join(own, "shingle").withColumn("width", F.lit(width)))
     return reduce(DataFrame.unionByName, out)
 
@@ -90,8 +90,8 @@ def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
     ).where("rarest.shows > 0")
     prefix = ranked.select("window", "items", F.size("window").alias("length"), "rarest.place", "rarest.width", "rarest.shingle")
     starts = hits.join(prefix, ["width", "shingle"]).withColumn("start", F.col("position") - F.col("place"))
-    starts = starts.where("start >= 0").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "window", "items")).alias("starts"))
-    return starts
+    inside = starts.where("start >= 0 and start + length <= n_words")
+    return inside.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "window", "items")).alias("starts"))
 
 
 def _judged(docs: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
