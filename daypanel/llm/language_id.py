@@ -109,16 +109,28 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     for batch in batches:
         texts += batch.num_rows
         seen = np.zeros(BUCKETS + 1, np.int64)
+        # a piece that another one follows closes its block, so only the first of a block may continue a text
+        open_text, shown = None, np.zeros((len(ORDERS), BUCKETS + 1), bool)
         for numbers, starts, points in _blocks(batch.column(0).to_pylist()):
+            ends = [*starts[1:], len(points)]
             which = np.repeat(np.arange(len(numbers)), np.diff([*starts, len(points)]))
-            for gram in _grams(points):
-                mask = np.zeros((len(numbers), BUCKETS + 1), bool) if len(numbers) < 64 else None
-                if mask is not None:
+            continued = open_text == numbers[0]
+            for order, gram in enumerate(_grams(points)):
+                if len(numbers) < 64:
+                    mask = np.zeros((len(numbers), BUCKETS + 1), bool)
                     mask[which, gram] = True
                     seen += mask.sum(0)
                 else:
                     pairs = np.unique(which.astype(np.int64) * (BUCKETS + 1) + gram)
                     seen += np.bincount(pairs % (BUCKETS + 1), minlength=BUCKETS + 1)
+                if continued:
+                    first = np.zeros(BUCKETS + 1, bool)
+                    first[gram[: ends[0]]] = True
+                    seen -= first & shown[order]
+                if not (continued and len(numbers) == 1):
+                    shown[order] = False
+                shown[order, gram[starts[-1] :]] = True
+            open_text = numbers[-1]
         total += seen[:BUCKETS]
     at = np.flatnonzero(total)
     at = np.concatenate([[-1], at])
@@ -201,10 +213,23 @@ def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     return math.exp((low + high) / 2)
 
 
+def sampled(train: DataFrame, texts: int, max_train: int) -> DataFrame:
+    """(text, lang, aside, shard): about ``max_train`` of ``texts`` rows; a tenth is set aside for the temperature.
+
+    Drawn by a hash of id and text, so that it is the same whenever it is computed. Rows that are equal in id, text and
+    lang count once, so that no group of copies can exceed the bound, and rows of one id, null included, are drawn apart.
+    """
+    def drawn(label: str, parts: int) -> Column:
+        return F.pmod(F.xxhash64("doc_id", "text", F.lit(label)), F.lit(parts))
+
+    chosen = train.where(drawn("sample", 1 << 40) / (1 << 40) < max_train / max(texts, 1)).distinct()
+    return chosen.select("text", "lang", (drawn("aside", 10) == 0).alias("aside"), drawn("shard", SHARDS).alias("shard"))
+
+
 def fit(train: DataFrame, settings: Training = Training()) -> Model | None:
     """Learn from (doc_id, text, lang); rows with a null text or lang are left out. None without any row.
 
-    The sample is drawn by a hash of the id, so that it is the same whenever it is computed.
+    Languages beyond ``max_languages`` are an error, as the learner's state grows with them.
     """
     train = train.select("doc_id", "text", "lang").where("text is not null and lang is not null")
     languages = [r.lang for r in train.select("lang").distinct().orderBy("lang").limit(settings.max_languages + 1).collect()]
@@ -213,11 +238,8 @@ def fit(train: DataFrame, settings: Training = Training()) -> Model | None:
     if not languages:
         return None
     idf, texts = inverse_frequencies(train)
-    unit = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
-    chosen = train.where(unit < settings.max_train / max(texts, 1))
-    aside = F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(10)) == 0
-    shard = F.pmod(F.xxhash64("doc_id", "text", F.lit("shard")), F.lit(SHARDS))
-    sample = materialised(chosen.where(~aside).select("text", "lang", shard.alias("shard")), "sample").groupBy("shard")
+    chosen = materialised(sampled(train, texts, settings.max_train), "sample")
+    sample = chosen.where("not aside").groupBy("shard")
     z = np.zeros((BUCKETS, len(languages)))
     n = np.zeros_like(z)
     for _ in range(settings.rounds):
@@ -232,7 +254,7 @@ def fit(train: DataFrame, settings: Training = Training()) -> Model | None:
         for frame in frames:
             yield pd.DataFrame({"lang": frame.lang, "scores": list(score(frame.text.tolist()))})
 
-    kept = chosen.where(aside).mapInPandas(held, "lang string, scores array<double>").toPandas()
+    kept = chosen.where("aside").mapInPandas(held, "lang string, scores array<double>").toPandas()
     labels = kept.lang.map({x: i for i, x in enumerate(languages)}).to_numpy(dtype=int)
     t = _temperature(np.stack(kept.scores.to_list()) if len(kept) else np.zeros((0, len(languages))), labels)
     return Model(languages, idf, model.weights, t)

@@ -8,6 +8,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daypanel.llm import (
@@ -196,6 +197,20 @@ def test_decontamination(spark, docs, rows, none):
     assert decontamination.clean(docs, benchmark).columns == docs.columns
 
 
+def test_windows_cut_off_by_the_end_of_a_text_and_repeated_rows(spark):
+    item = prose(30, 45)
+    words = item.split()
+    rows = [(1, " ".join(words[:12])), (2, " ".join(words[17:])), (3, "so " + " ".join(words[18:])), (4, " ".join(words[:13]))]
+    rows += [(None, f"{item} and {item}")] * 40
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sorted(map(repr, (tuple(r) for r in decontamination.contamination(docs, benchmark).collect())))
+    assert found == sorted(repr((r[0], *brute.contaminated(r[1], [(1, item)]))) for r in rows)
+    worded = docs.selectExpr("doc_id", "xxhash64(text) as text_hash", "split(lower(text), ' ') as words")
+    starts = {r.doc_id: [c.start for c in r.starts] for r in decontamination.candidates(worded, benchmark).collect()}
+    assert 1 not in starts and 3 not in starts and len(starts[None]) == 2 * 18 and len(starts[2]) == len(starts[4]) == 1
+
+
 def test_clean_documents_of_a_contaminated_id_stay(spark):
     item = prose(30, 41)
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
@@ -226,6 +241,29 @@ def test_long_texts_have_the_grams_of_one_piece(monkeypatch):
     assert dict(zip(cut[0][1].tolist(), cut[0][2].tolist())).keys() == dict(zip(whole[0][1].tolist(), whole[0][2].tolist())).keys()
 
 
+def test_cut_texts_count_once_in_document_frequencies(monkeypatch):
+    texts = [prose(20, 1), prose(400, 2), "", prose(300, 3), prose(5, 4), None, *[prose(3, i) for i in range(70)], prose(90, 5)]
+
+    def frequencies():
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+        (out,) = language_id._document_frequencies(iter([batch]))
+        return dict(zip(*[column.to_pylist() for column in out.columns]))
+
+    whole = frequencies()
+    assert whole[-1] == len(texts)
+    monkeypatch.setattr(language_id, "BLOCK", 100)
+    assert frequencies() == whole
+
+
+def test_the_training_sample_is_bounded_for_null_ids_and_copies(spark):
+    apart = spark.range(4000).selectExpr("cast(null as bigint) as doc_id", "concat('text ', id) as text", "'xa' as lang")
+    copies = spark.range(4000).selectExpr("7L as doc_id", "'the same' as text", "'xa' as lang")
+    one_id = spark.range(4000).selectExpr("8L as doc_id", "concat('other ', id) as text", "'xa' as lang")
+    train = apart.unionByName(copies).unionByName(one_id)
+    assert 600 < language_id.sampled(train, 12000, 1200).count() < 1000
+    assert language_id.sampled(train, 12000, 12000).count() == 8001
+
+
 def test_importance(spark, none):
     texts = [(i, prose(40, i) if i % 4 else " ".join(["foul"] * 20 + [prose(10, i)]), "o") for i in range(200)]
     docs = spark.createDataFrame(texts + [(None, None, "o"), (900, "", "o")], "doc_id long, text string, kept string")
