@@ -55,7 +55,7 @@ def shown(docs: DataFrame, wanted: DataFrame, widths: list[int]) -> DataFrame:
     for width in widths:
         own = wanted.where(F.col("width") == width).select("shingle")
         own = F.broadcast(own) if own.count() <= MAX_BROADCAST else own
-        at = docs.select("doc_id", "text_hash", F.size("words").alias("n_words"), F.posexplode(shingle_hashes("words", width)).alias("position", "shingle"))
+        at = docs.select("doc_id", "text_hash", "n_words", F.posexplode(shingle_hashes("words", width)).alias("position", "shingle"))
         out.append(at.join(own, "shingle").withColumn("width", F.lit(width)))
     return reduce(DataFrame.unionByName, out)
 
@@ -81,7 +81,8 @@ def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
     if not widths:
         return None
     wanted = shingled.select("width", "shingle").distinct()
-    hits = materialised(shown(docs, wanted, widths), "shown")
+    # counted before the words are spread, so that no spread row carries them
+    hits = materialised(shown(docs.withColumn("n_words", F.size("words")), wanted, widths), "shown")
     rarity = hits.groupBy("width", "shingle").agg(F.count("*").alias("shows"))
     # a window with a shingle that no document shows occurs nowhere
     ranked = shingled.join(rarity, ["width", "shingle"], "left").groupBy("window").agg(
