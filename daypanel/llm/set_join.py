@@ -245,7 +245,7 @@ def _sketch_comparer(percent: int):
                 rest = rest[100 * small >= percent * large]
                 reached = rest[(matrix[rest] == matrix[at]).sum(1) >= least]
                 left[reached] = False
-                found += [(at, int(x)) for x in reached]
+                found += [(root, int(x)) for x in reached]
                 front += reached.tolist()
         pairs = [pa.array([keys[x[i]] for x in found], pa.int64()) for i in (0, 1)]
         return pa.RecordBatch.from_arrays(pairs, ["a", "b"])
@@ -271,10 +271,14 @@ def _sketch_comparer(percent: int):
 
 
 def close(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of the classes in each of ``nodes`` (node, key) that span what sizes and sketches may link."""
+    """Pairs (a, b) of the classes in each of ``nodes`` (node, key) that span what sizes and sketches may link.
+
+    ``a`` is the smallest key of what hangs together in a task. Nodes that share most of a group then name the same pairs, and
+    a group has about as many distinct ones as it has classes, whatever the number of nodes it meets in.
+    """
     rows = nodes.join(classes.select("key", "n", "sketch"), "key").select("node", "key", "n", "sketch")
     tasks = _block_pairs(rows, "node", F.ceil(F.count("*") / BLOCK_SKETCHES), "n", "sketch")
-    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_sketch_comparer(percent), "a long, b long")
+    return tasks.repartition("task").sortWithinPartitions("task", "key").mapInArrow(_sketch_comparer(percent), "a long, b long")
 
 
 def similar_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:

@@ -61,3 +61,13 @@ def test_trees_reach_the_recall_that_is_stated():
     for similarity in (0.8, 0.85):
         trees = set_join.trees_for(similarity, 0.99999)
         assert set_join.missed(similarity, trees) <= 1e-5 < set_join.missed(similarity, trees - 1)
+
+
+def test_nodes_of_one_group_name_the_same_pairs(spark):
+    """A group that meets in many nodes brings one pair per class and no tree of its own per node."""
+    start = np.arange(set_join.TOKENS)
+    sketches = [[int(x) if at >= 2 * i else -1 for at, x in enumerate(start)] for i in range(10)]  # a chain: only near ones are similar
+    classes = spark.createDataFrame([(i, 100, s) for i, s in enumerate(sketches)], "key long, n long, sketch array<int>")
+    nodes = [(node, i) for node in range(12) for i in range(10) if i == 0 or (i + node) % 6]
+    found = set_join.close(spark.createDataFrame(nodes, "node long, key long"), classes, 85).distinct().collect()
+    assert sorted((r.a, r.b) for r in found) == [(0, i) for i in range(1, 10)]
