@@ -81,13 +81,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 class Encoder:
-    """Token ids of whole texts as little-endian bytes; words that come again are looked up.
-
-    A text may be cut before each single blank between two visible characters: no piece of the pattern crosses such a
-    place. Texts with other white space around blanks are encoded as they are.
-    """
-
-    KEEP = 500_000
+    """Token ids of whole texts as little-endian bytes."""
 
     def __init__(self, path: str) -> None:
         import tiktoken
@@ -96,23 +90,9 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.plain = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.kind = np.dtype("<u2" if max(ranks.values()) < 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        return np.asarray(self.plain.encode_ordinary(text), self.kind).tobytes()
-
-    def missing(self, word: str) -> bytes:
-        if len(self.known) >= self.KEEP:
-            self.known.clear()
-        found = self.known[word] = self.encode(" " + word)
-        return found
 
     def __call__(self, text: str) -> bytes:
-        words = text.split(" ")
-        if len(words) < 3 or "" in words or [w.strip() for w in words] != words:
-            return self.encode(text)
-        known = self.known
-        return self.encode(words[0]) + b"".join([known.get(w) or self.missing(w) for w in words[1:]])
+        return np.asarray(self.plain.encode_ordinary(text), self.kind).tobytes()
 
 
 def _packer(path: str, length: int, block_tokens: int):

@@ -4,6 +4,7 @@ import base64
 import hashlib
 from collections import Counter
 import math
+import pickle
 import random
 
 import brute
@@ -170,6 +171,16 @@ def test_best_fit(seed):
     assert sorted(sum(lengths[i] for i in r) for r in rows) == sorted(sum(lengths[i] for i in r) for r in brute.best_fit(lengths, 64))
 
 
+def test_the_encoder_keeps_no_words():
+    """Words that never come again, of which a corpus has the most, leave nothing behind in a task."""
+    encode = packing.Encoder(packing.VOCABULARY)
+    before = len(pickle.dumps({k: v for k, v in vars(encode).items() if k != "plain"}))
+    for i in range(200):
+        text = " ".join(f"w{i}x{j}" for j in range(50))
+        assert np.frombuffer(encode(text), encode.kind).tolist() == encode.plain.encode_ordinary(text)
+    assert len(pickle.dumps({k: v for k, v in vars(encode).items() if k != "plain"})) == before
+
+
 def test_packing_round_trip(docs, rows, none):
     found = packing.packed_sequences(docs, length=256, block_tokens=3000).collect()
     encode = packing.Encoder(packing.VOCABULARY)
